@@ -52,15 +52,18 @@ def beyond_high_water(batch: DataFrame, marks: DataFrame) -> DataFrame:
 def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Messages of the batch that are not stored yet, whatever order they come in.
 
-    Only messages at or below the marks can be stored already, so only those are looked up.
+    Only identities at or below the marks can be stored already, so only those are looked up.
+    A source read in order has none, and then the messages pass without a shuffle.
     """
     marks = broadcast_if_small(high_water_marks(stored))
-    marked = batch.join(marks, ["topic", "partition"], "left")
-    fresh = marked.filter(_above_mark())
-    late = marked.filter(~_above_mark()).join(
-        stored.select(*RECORD_ID), list(RECORD_ID), "left_anti"
+    late = (
+        batch.select(*RECORD_ID)
+        .join(marks, ["topic", "partition"], "left")
+        .filter(~_above_mark())
+        .select(*RECORD_ID)
     )
-    return fresh.unionByName(late).select(*batch.columns)
+    known = late.join(stored.select(*RECORD_ID), list(RECORD_ID), "left_semi")
+    return batch.join(broadcast_if_small(known), list(RECORD_ID), "left_anti")
 
 
 def undecodable(log: DataFrame) -> DataFrame:
