@@ -11,24 +11,43 @@ from millrace.schemas import RECORD_ID
 SMALL_TABLE_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, row_limit: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """A broadcast copy of ``df`` when it has at most ``row_limit`` rows, else ``df`` itself.
+def _few_rows(df: DataFrame, row_limit: int) -> DataFrame | None:
+    """A local copy of ``df`` marked for broadcast, or None when it has more rows than that.
 
     Never more than the limit reaches the driver. For narrow tables only.
     """
     rows = df.limit(row_limit + 1).collect()
     if len(rows) > row_limit:
-        return df
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def drop_replayed(log: DataFrame) -> DataFrame:
+def broadcast_if_small(df: DataFrame, row_limit: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """``df`` as a broadcast table when it is small, else ``df`` itself, joined by shuffle."""
+    few = _few_rows(df, row_limit)
+    return df if few is None else few
+
+
+def drop_replayed(log: DataFrame, row_limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     """Each message once, by its identity; never by content, which may rightly repeat.
 
-    Copies collapse in the tasks that read them, so a message sent many times does not make
-    a large group.
+    Repeated identities are looked for first, without the values. While they are few, only
+    their own messages are shuffled; the others pass. Copies collapse in the tasks that read
+    them, so a message sent many times does not make a large group.
     """
-    return log.dropDuplicates(list(RECORD_ID))
+    identity = list(RECORD_ID)
+    repeated = (
+        log.groupBy(*identity)
+        .agg(F.count("*").alias("copies"))
+        .filter(F.col("copies") > 1)
+        .select(*identity)
+    )
+    few = _few_rows(repeated, row_limit)
+    if few is None:
+        return log.dropDuplicates(identity)
+    once = log.join(few, identity, "left_anti").select(*log.columns)
+    again = log.join(few, identity, "left_semi").select(*log.columns)
+    return once.unionByName(again.dropDuplicates(identity))
 
 
 def high_water_marks(stored: DataFrame) -> DataFrame:
@@ -63,7 +82,8 @@ def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:
         .select(*RECORD_ID)
     )
     known = late.join(stored.select(*RECORD_ID), list(RECORD_ID), "left_semi")
-    return batch.join(broadcast_if_small(known), list(RECORD_ID), "left_anti")
+    unknown = batch.join(broadcast_if_small(known), list(RECORD_ID), "left_anti")
+    return unknown.select(*batch.columns)
 
 
 def undecodable(log: DataFrame) -> DataFrame:

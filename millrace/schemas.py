@@ -51,6 +51,7 @@ TRIP_FIELDS = {
     "congestion_surcharge": "congestion_surcharge",
     "Airport_fee": "Airport_fee",
 }
+BRONZE_TRIP_COLUMNS = [*RECORD_ID, "kafka_timestamp", "value_str", *TRIP_FIELDS.values()]
 SILVER_TRIP_SCHEMA = (
     "dolocation_id int, pulocation_id int, vendor_id string, pickup_datetime timestamp, "
     "dropoff_datetime timestamp, passenger_count int, trip_distance double, fare_amount double, "

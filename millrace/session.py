@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,16 +50,20 @@ def snapshot_catalog_conf(warehouse: str, catalog: str = "spark_catalog") -> dic
     }
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="millrace-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names the root in ``spark.checkpoint.dir``. Only a local master,
-    where all tasks live on one machine, may fall back to a temporary folder.
+    The cluster names the root in ``spark.checkpoint.dir``. Only a local master, where all
+    tasks live on one machine, may fall back to a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -3,9 +3,12 @@ from millrace.sinks.tables import (
     ensure_database,
     overwrite_partitions,
     overwrite_table,
+    publish_files,
 )
 from millrace.sinks.versions import (
     commit_version,
+    current_data_table,
+    expire_versions,
     read_version,
     roll_back,
     snapshot_sql,
@@ -15,9 +18,12 @@ from millrace.sinks.versions import (
 __all__ = [
     "append_table",
     "commit_version",
+    "current_data_table",
     "ensure_database",
+    "expire_versions",
     "overwrite_partitions",
     "overwrite_table",
+    "publish_files",
     "read_version",
     "roll_back",
     "snapshot_sql",

@@ -71,3 +71,9 @@ def overwrite_partitions(
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         observed.write.insertInto(table, overwrite=True)
     return rows.get["rows"]
+
+
+def publish_files(spark: SparkSession, view: str, path: str, columns: Sequence[str]) -> None:
+    """A catalog view over files a stream appends to; it shows committed files only."""
+    listed = ", ".join(f"`{name}`" for name in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM parquet.`{path}`")

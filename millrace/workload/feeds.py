@@ -1,6 +1,6 @@
 """Kafka-shaped logs that Spark derives from the given tables.
 
-Each feed is a plain projection of its table, so it grows with the table and needs no shuffle.
+Each feed is a plain projection of its table, so it grows with the table.
 """
 
 from __future__ import annotations
@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """``frame`` over all cores when its files have fewer splits than there are cores.
+
+    Encoding is heavy for the CPU; a table of one row group would be encoded by one task. A
+    table with enough splits is left as it is, without a shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def _message(*fields: Column) -> Column:
     text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return text.cast("binary")
@@ -34,7 +44,12 @@ def _change(op: Column, ts_ms: Column, lsn: Column, before: Column, after: Colum
 
 def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot record per customer, then an update (or delete) per order."""
-    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer")
+    orders = spread(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+        )
+    )
     domain = F.lit("@example.com")
 
     snapshot = F.struct(
@@ -95,7 +110,10 @@ def drivers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     old = F.struct(F.col("user_id").alias("id"))
     op = F.when(kind == "error", "d").when(kind == "signup", "c").otherwise("u")
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value"
+    )
+    return spread(events).select(
         F.lit(DRIVERS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
@@ -161,10 +179,23 @@ def trips_log(
         F.lit(2.5).alias("congestion_surcharge"),
         F.lit(None).cast("double").alias("Airport_fee"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_returnflag",
+        "l_shipdate",
+        F.monotonically_increasing_id().alias("offset"),
+    )
+    return spread(lines).select(
         F.lit(TRIPS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        "offset",
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
         value.alias("value"),
     )

@@ -132,6 +132,19 @@ def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path)
     for entity, want in ((CUSTOMERS, customers), (DRIVERS, drivers)):
         state = read_version(spark, cfg.table(f"{entity.name}_state"))
         assert same(live_rows(state, entity), want)
+        assert same(spark.table(cfg.mirror(entity)), want)
+    assert spark.table(cfg.table("bronze_cdc_events")).count() == all_changes.count()
+    assert spark.table(cfg.table("bronze_taxi_trips")).count() == all_trips.count()
+    trips = enrich_zones(clean_trips(parse_trips(all_trips)), feeds.zones(spark, SF))
+    assert same(spark.table(cfg.table("silver_taxi_trips")), trips)
+    by_sql = spark.sql(
+        f"""SELECT pickup_zone, date_trunc('hour', pickup_datetime) AS pickup_hour,
+                   count(*) AS total_trips
+            FROM {database}.silver_taxi_trips WHERE pickup_zone IS NOT NULL
+            GROUP BY pickup_zone, date_trunc('hour', pickup_datetime)
+            ORDER BY pickup_hour DESC, total_trips DESC"""
+    )
+    assert same(by_sql, gold.select("pickup_zone", "pickup_hour", "total_trips"))
     assert same(spark.table(f"{database}.gold_taxi_aggregates").select(*GOLD), gold)
 
 

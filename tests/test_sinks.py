@@ -11,6 +11,7 @@ from millrace.schemas import CUSTOMERS
 from millrace.sinks import (
     append_table,
     commit_version,
+    expire_versions,
     overwrite_partitions,
     overwrite_table,
     read_version,
@@ -80,6 +81,20 @@ def test_a_failed_commit_leaves_the_old_version_current(spark, database):
     assert version_history(spark, table).count() == 1
 
 
+def test_expired_versions_are_dropped_but_stay_in_the_history(spark, database):
+    table = f"{database}.mirror"
+    for rows_written in (1, 2, 3):
+        commit_version(spark.range(rows_written), table)
+    roll_back(spark, table, 1)
+    assert expire_versions(spark, table, keep=2) == 1
+    assert expire_versions(spark, table, keep=2) == 0
+    assert read_version(spark, table).count() == 1
+    assert read_version(spark, table, 3).count() == 3
+    assert version_history(spark, table).count() == 4
+    with pytest.raises(Exception, match="cannot be found"):
+        read_version(spark, table, 2).count()
+
+
 def test_unknown_version(spark, database):
     with pytest.raises(ValueError):
         read_version(spark, f"{database}.mirror")
