@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import utf8_text
 from millrace.schemas import RECORD_ID
 
-SMALL_TABLE_ROWS = 100_000
+SMALL_TABLE_ROWS = 10_000
 
 
 def _few_rows(df: DataFrame, row_limit: int) -> DataFrame | None:

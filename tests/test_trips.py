@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from helpers import log, raw, rows, trip
+from pyspark.sql import functions as F
 
 from millrace.operators import (
     clean_trips,
@@ -152,3 +153,35 @@ def test_ties_in_the_report_are_settled_by_zone(spark):
     stats = zone_stats(enrich_zones(clean(spark, *messages), zones(spark)))
     assert [row.pickup_zone for row in latest_hours(stats).collect()] == ["A", "B"]
     assert latest_hours(stats, rows=1).first().pickup_zone == "A"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"VendorID":{"x": 1,"y":[1, 2]}}',
+        '{"VendorID":[1, 2]}',
+        '{"VendorID":true}',
+        '{"VendorID":null}',
+        '{"VendorID":"q\\"\\u00e9\\n"}',
+        '{"VendorID":12345678901234567890}',
+        '{"VendorID":1.50}',
+        '{"VendorID":1e3}',
+        '{"VendorID":1}trailing',
+        '{"VendorID":1',
+        '{"VendorID":NaN}',
+        '{"vendorid":1}',
+        '[{"VendorID":1}]',
+        '{"outer":{"VendorID":1}}',
+        "{'VendorID':'x'}",
+        "",
+    ],
+)
+def test_one_pass_reads_the_same_text_as_a_json_path(spark, text):
+    bronze = parse_trips(log(spark, [raw(0, text.encode(), TRIPS_TOPIC)]))
+    row = bronze.select("VendorID", F.get_json_object("value_str", "$.VendorID").alias("p")).first()
+    assert row.VendorID == row.p
+
+
+def test_duplicated_trip_field_takes_the_last_value(spark):
+    text = b'{"VendorID":"first","VendorID":"last"}'
+    assert parse_trips(log(spark, [raw(0, text, TRIPS_TOPIC)])).first().VendorID == "last"
