@@ -17,7 +17,8 @@ from millrace.schemas import (
     column_names,
 )
 
-STATE_KEY = ("topic", "primary_key")
+# The varied column first: sorting compares its prefix, and nearly always stops there.
+STATE_KEY = ("primary_key", "topic")
 # Commit time, then log position, then message position: a total order of changes.
 CHANGE_ORDER = ("change_ts", "change_lsn", "partition", "offset")
 STATE_COLUMNS = (*STATE_KEY, "op", *CHANGE_ORDER, "after_json")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions import utf8_text
 from millrace.schemas import RECORD_ID
 
+# Most varied column first: sorting compares its prefix, and nearly always stops there.
+IDENTITY = list(reversed(RECORD_ID))
 SMALL_TABLE_ROWS = 10_000
 
 
@@ -35,19 +37,18 @@ def drop_replayed(log: DataFrame, row_limit: int = SMALL_TABLE_ROWS) -> DataFram
     their own messages are shuffled; the others pass. Copies collapse in the tasks that read
     them, so a message sent many times does not make a large group.
     """
-    identity = list(RECORD_ID)
     repeated = (
-        log.groupBy(*identity)
+        log.groupBy(*IDENTITY)
         .agg(F.count("*").alias("copies"))
         .filter(F.col("copies") > 1)
-        .select(*identity)
+        .select(*IDENTITY)
     )
     few = _few_rows(repeated, row_limit)
     if few is None:
-        return log.dropDuplicates(identity)
-    once = log.join(few, identity, "left_anti").select(*log.columns)
-    again = log.join(few, identity, "left_semi").select(*log.columns)
-    return once.unionByName(again.dropDuplicates(identity))
+        return log.dropDuplicates(IDENTITY)
+    once = log.join(few, IDENTITY, "left_anti").select(*log.columns)
+    again = log.join(few, IDENTITY, "left_semi").select(*log.columns)
+    return once.unionByName(again.dropDuplicates(IDENTITY))
 
 
 def high_water_marks(stored: DataFrame) -> DataFrame:
@@ -76,13 +77,14 @@ def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """
     marks = broadcast_if_small(high_water_marks(stored))
     late = (
-        batch.select(*RECORD_ID)
+        batch.select(*IDENTITY)
         .join(marks, ["topic", "partition"], "left")
         .filter(~_above_mark())
-        .select(*RECORD_ID)
+        .select(*IDENTITY)
+        .distinct()
     )
-    known = late.join(stored.select(*RECORD_ID), list(RECORD_ID), "left_semi")
-    unknown = batch.join(broadcast_if_small(known), list(RECORD_ID), "left_anti")
+    known = late.join(stored.select(*IDENTITY), IDENTITY, "left_semi")
+    unknown = batch.join(broadcast_if_small(known), IDENTITY, "left_anti")
     return unknown.select(*batch.columns)
 
 
