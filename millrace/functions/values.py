@@ -11,6 +11,11 @@ def utf8_text(value: Column) -> Column:
     return F.try_validate_utf8(value.cast("string"))
 
 
+def undecoded_bytes(value: Column) -> Column:
+    """The bytes that ``utf8_text`` cannot read; null for all others."""
+    return F.when(utf8_text(value).isNull(), value)
+
+
 def whole_number(text: Column) -> Column:
     """Integer from text such as ``1`` or ``1.0``, cut toward zero."""
     return text.try_cast("double").try_cast("int")

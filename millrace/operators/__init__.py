@@ -26,7 +26,7 @@ from millrace.operators.quality import (
     reconcile_counts,
     table_counts,
 )
-from millrace.operators.trips import clean_trips, parse_trips, trip_rejects, type_trips
+from millrace.operators.trips import clean_trips, parse_trips, trip_rejects
 from millrace.operators.zones import DimensionFacts, dimension_facts, enrich_zones
 
 __all__ = [
@@ -56,7 +56,6 @@ __all__ = [
     "state_as_of",
     "table_counts",
     "trip_rejects",
-    "type_trips",
     "undecodable",
     "with_change_key",
     "zone_stats",

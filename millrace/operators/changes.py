@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import utf8_text
+from millrace.functions import undecoded_bytes, utf8_text
 from millrace.schemas import (
     BRONZE_CHANGE_SCHEMA,
     CUSTOMERS,
     DELETE_OP,
     ENVELOPE_SCHEMA,
+    UNDECODED,
     Entity,
     column_names,
 )
@@ -39,9 +40,13 @@ def _unpack_envelope(log: DataFrame) -> DataFrame:
     )
 
 
-def parse_change_events(log: DataFrame) -> DataFrame:
-    """Messages with their change envelope split into columns; the raw text stays."""
-    return _unpack_envelope(log).select(*column_names(BRONZE_CHANGE_SCHEMA))
+def parse_change_events(log: DataFrame, keep_undecoded: bool = False) -> DataFrame:
+    """Messages with their change envelope split into columns; the raw text stays.
+
+    With ``keep_undecoded`` bytes that are not UTF-8 are kept in a column of their own.
+    """
+    kept = [undecoded_bytes(F.col("value")).alias(UNDECODED)] if keep_undecoded else []
+    return _unpack_envelope(log).select(*column_names(BRONZE_CHANGE_SCHEMA), *kept)
 
 
 def _with_key_text(events: DataFrame, key: str) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import utf8_text
-from millrace.schemas import RECORD_ID
+from millrace.schemas import RECORD_ID, UNDECODED
 
 # Most varied column first: sorting compares its prefix, and nearly always stops there.
 IDENTITY = list(reversed(RECORD_ID))
@@ -88,8 +87,6 @@ def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return unknown.select(*batch.columns)
 
 
-def undecodable(log: DataFrame) -> DataFrame:
-    """Messages whose bytes are not UTF-8, kept as bytes."""
-    return log.filter(
-        F.col("value").isNotNull() & utf8_text(F.col("value")).isNull()
-    ).select(*RECORD_ID, "value", F.lit("not_utf8").alias("reason"))
+def undecodable(bronze: DataFrame) -> DataFrame:
+    """Stored messages whose bytes are not UTF-8."""
+    return bronze.filter(F.col(UNDECODED).isNotNull()).select(*RECORD_ID, UNDECODED)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import instant, utf8_text, whole_number
-from millrace.schemas import RECORD_ID, TRIP_FIELDS
+from millrace.functions import instant, undecoded_bytes, utf8_text, whole_number
+from millrace.schemas import RECORD_ID, TRIP_FIELDS, UNDECODED
 
 _WHOLE = {
     "passenger_count": "passenger_count",
@@ -15,28 +15,25 @@ _WHOLE = {
 }
 _INSTANTS = ("pickup_datetime", "dropoff_datetime")
 _UNTYPED = {"VendorID": "vendor_id"}
+_DECIDING = ("pickup_datetime", "dropoff_datetime", "fare_amount")
 
 
-def parse_trips(log: DataFrame) -> DataFrame:
+def parse_trips(log: DataFrame, keep_undecoded: bool = False) -> DataFrame:
     """Messages with the sixteen trip fields as text columns, read in one pass over the JSON.
 
     Field names match by case. The generator keeps later filters from parsing the text again.
+    With ``keep_undecoded`` bytes that are not UTF-8 are kept in a column of their own.
     """
+    kept = [undecoded_bytes(F.col("value")).alias(UNDECODED)] if keep_undecoded else []
     return log.select(
-        "topic",
-        "partition",
-        "offset",
+        *RECORD_ID,
         F.col("timestamp").alias("kafka_timestamp"),
         utf8_text(F.col("value")).alias("value_str"),
+        *kept,
     ).select("*", F.json_tuple("value_str", *TRIP_FIELDS).alias(*TRIP_FIELDS.values()))
 
 
-def type_trips(bronze: DataFrame) -> DataFrame:
-    """Typed trip columns and ``reject_reason``, which is null on trips worth keeping.
-
-    An unreadable optional measure becomes null; only times and the fare decide. A fare must
-    be a number above zero, so NaN is refused although Spark orders it above every number.
-    """
+def _typed_columns() -> dict[str, Column]:
     typed = {}
     for name in TRIP_FIELDS.values():
         text = F.col(name)
@@ -48,39 +45,40 @@ def type_trips(bronze: DataFrame) -> DataFrame:
             typed[_WHOLE[name]] = whole_number(text)
         else:
             typed[name.lower()] = text.try_cast("double")
-    fare = typed["fare_amount"]
-    reason = (
-        F.when(F.col("value_str").isNull(), "no_text")
-        .when(F.col("pickup_datetime").isNull(), "pickup_missing")
-        .when(typed["pickup_datetime"].isNull(), "pickup_unreadable")
-        .when(F.col("dropoff_datetime").isNull(), "dropoff_missing")
-        .when(typed["dropoff_datetime"].isNull(), "dropoff_unreadable")
-        .when(F.col("fare_amount").isNull(), "fare_missing")
-        .when(fare.isNull() | F.isnan(fare), "fare_unreadable")
-        .when(fare <= 0, "fare_not_positive")
-    )
-    return bronze.select(
-        "topic",
-        "partition",
-        "offset",
-        "value_str",
-        *(column.alias(name) for name, column in typed.items()),
-        reason.alias("reject_reason"),
+    return typed
+
+
+def _reject_reason() -> Column:
+    """Why a trip is left out, by its text columns; null on trips worth keeping.
+
+    An unreadable optional measure becomes null; only times and the fare decide. A fare must
+    be a number above zero, so NaN is refused although Spark orders it above every number.
+    """
+    pickup, dropoff, fare = (F.col(name) for name in _DECIDING)
+    amount = fare.try_cast("double")
+    return (
+        F.when(F.coalesce(pickup, dropoff, fare).isNull(), "no_fields")
+        .when(pickup.isNull(), "pickup_missing")
+        .when(instant(pickup).isNull(), "pickup_unreadable")
+        .when(dropoff.isNull(), "dropoff_missing")
+        .when(instant(dropoff).isNull(), "dropoff_unreadable")
+        .when(fare.isNull(), "fare_missing")
+        .when(amount.isNull() | F.isnan(amount), "fare_unreadable")
+        .when(amount <= 0, "fare_not_positive")
     )
 
 
 def clean_trips(bronze: DataFrame) -> DataFrame:
     """Typed trips with both times and a fare above zero."""
-    typed = type_trips(bronze)
-    return typed.filter(F.col("reject_reason").isNull()).drop(
-        *RECORD_ID, "value_str", "reject_reason"
-    )
+    kept = bronze.filter(_reject_reason().isNull())
+    return kept.select(*(column.alias(name) for name, column in _typed_columns().items()))
 
 
 def trip_rejects(bronze: DataFrame) -> DataFrame:
-    """The messages ``clean_trips`` leaves out: identity, raw text and reason."""
-    return (
-        type_trips(bronze)
-        .filter(F.col("reject_reason").isNotNull())
-        .select(*RECORD_ID, "value_str", "reject_reason")
+    """The messages ``clean_trips`` leaves out: identity, the deciding texts and the reason.
+
+    The whole text is in bronze under the same identity, so it is not read here.
+    """
+    return bronze.select(*RECORD_ID, *_DECIDING, _reject_reason().alias("reject_reason")).filter(
+        F.col("reject_reason").isNotNull()
     )

@@ -22,6 +22,7 @@ GOLD_STATS = "gold_taxi_aggregates"
 
 LOG_SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp, value binary"
 RECORD_ID = ("topic", "partition", "offset")
+UNDECODED = "undecoded"
 
 ENVELOPE_SCHEMA = (
     "payload struct<op string, ts_ms string, source struct<lsn string>, before string, after string>"
@@ -59,6 +60,10 @@ SILVER_TRIP_SCHEMA = (
     "improvement_surcharge double, total_amount double, congestion_surcharge double, "
     "airport_fee double, pickup_zone string, dropoff_zone string"
 )
+GOLD_SCHEMA = (
+    "pickup_zone string, pickup_hour timestamp, total_trips bigint, avg_fare double, "
+    "avg_distance double, total_revenue double"
+)
 ZONE_SCHEMA = "LocationID int, Zone string"
 
 

@@ -1,9 +1,10 @@
 from millrace.sinks.tables import (
     append_table,
     ensure_database,
+    files,
     overwrite_partitions,
     overwrite_table,
-    publish_files,
+    publish,
 )
 from millrace.sinks.versions import (
     commit_version,
@@ -21,9 +22,10 @@ __all__ = [
     "current_data_table",
     "ensure_database",
     "expire_versions",
+    "files",
     "overwrite_partitions",
     "overwrite_table",
-    "publish_files",
+    "publish",
     "read_version",
     "roll_back",
     "snapshot_sql",

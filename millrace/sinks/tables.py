@@ -73,7 +73,15 @@ def overwrite_partitions(
     return rows.get["rows"]
 
 
-def publish_files(spark: SparkSession, view: str, path: str, columns: Sequence[str]) -> None:
-    """A catalog view over files a stream appends to; it shows committed files only."""
+def publish(spark: SparkSession, view: str, relation: str, columns: Sequence[str]) -> None:
+    """A catalog view with the contract columns of a stored relation.
+
+    For a folder that a stream appends to, ``relation`` is ``files(path)``; the view then shows
+    committed files only.
+    """
     listed = ", ".join(f"`{name}`" for name in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM parquet.`{path}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM {relation}")
+
+
+def files(path: str) -> str:
+    return f"parquet.`{path}`"

@@ -6,6 +6,7 @@ import pytest
 from helpers import WHEN, raw, rows, trip
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.config import PipelineConfig
 from millrace.operators import (
     clean_trips,
@@ -15,6 +16,7 @@ from millrace.operators import (
     multiset_difference,
     parse_change_events,
     parse_trips,
+    undecodable,
     zone_stats,
 )
 from millrace.plans import Folders, ValidationError, backfill, run_incremental, run_pipeline
@@ -25,7 +27,12 @@ from millrace.sources import LogSource
 from millrace.workload import feeds
 
 SF = "/root/testdata/sf0.001"
-GOLD = "pickup_zone pickup_hour total_trips avg_fare avg_distance total_revenue".split()
+CONTRACT = {
+    "bronze_cdc_events": schemas.BRONZE_CHANGE_SCHEMA,
+    "silver_customers": "id int, name string, email string, country string",
+    "silver_taxi_trips": schemas.SILVER_TRIP_SCHEMA,
+    "gold_taxi_aggregates": schemas.GOLD_SCHEMA,
+}
 
 
 def same(first, second):
@@ -78,8 +85,10 @@ def test_two_runs_give_one_result_and_backfill_keeps_it(spark, inputs, database,
         assert first.rows[name] == second.rows[name] > 0
     assert first.rows["silver_taxi_trips"] == 5747
     assert first.rows["gold_taxi_aggregates"] == 4894
-    stored = spark.table(f"{database}.gold_taxi_aggregates").select(*GOLD)
-    assert same(stored, gold)
+    assert same(spark.table(f"{database}.gold_taxi_aggregates"), gold)
+    for name, schema in CONTRACT.items():
+        want = [tuple(part.split()) for part in schema.split(", ")]
+        assert spark.table(f"{database}.{name}").dtypes == want
     assert rows(counts(spark, cfg)) == [
         ("customers", customers.count()),
         ("drivers", drivers.count()),
@@ -88,7 +97,7 @@ def test_two_runs_give_one_result_and_backfill_keeps_it(spark, inputs, database,
     report = backfill(spark, cfg, dt.date(1997, 3, 1), dt.date(1997, 5, 1))
     assert 0 < report.rows["silver_taxi_trips"] < 5747
     assert spark.table(f"{database}.silver_taxi_trips").count() == 5747
-    assert same(spark.table(f"{database}.gold_taxi_aggregates").select(*GOLD), gold)
+    assert same(spark.table(f"{database}.gold_taxi_aggregates"), gold)
     with pytest.raises(ValueError, match="first days"):
         backfill(spark, cfg, dt.date(1997, 3, 2), dt.date(1997, 5, 1))
 
@@ -145,7 +154,7 @@ def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path)
             ORDER BY pickup_hour DESC, total_trips DESC"""
     )
     assert same(by_sql, gold.select("pickup_zone", "pickup_hour", "total_trips"))
-    assert same(spark.table(f"{database}.gold_taxi_aggregates").select(*GOLD), gold)
+    assert same(spark.table(f"{database}.gold_taxi_aggregates"), gold)
 
 
 def test_undecodable_messages_are_kept_as_bytes(spark, inputs, database, tmp_path):
@@ -161,7 +170,8 @@ def test_undecodable_messages_are_kept_as_bytes(spark, inputs, database, tmp_pat
     )
     for _ in range(2):
         run_pipeline(spark, cfg)
-    kept = spark.table(f"{database}.bronze_taxi_trips_undecodable")
-    assert [(row.offset, bytes(row.value)) for row in kept.collect()] == [(7, b"\xff\xfe")]
+    kept = undecodable(spark.table(cfg.data("bronze_taxi_trips")))
+    assert [(row.offset, bytes(row.undecoded)) for row in kept.collect()] == [(7, b"\xff\xfe")]
+    assert spark.table(f"{database}.silver_taxi_rejects").count() == 2
     assert spark.table(f"{database}.silver_taxi_trips").count() == 1
     assert WHEN == spark.table(f"{database}.bronze_taxi_trips").first().kafka_timestamp

@@ -19,6 +19,7 @@ from millrace.operators import (
     multiset_difference,
     parse_change_events,
     parse_trips,
+    trip_rejects,
     zone_stats,
 )
 from millrace.operators.changes import STATE_KEY
@@ -79,6 +80,12 @@ def test_trip_text_is_parsed_once_and_filtered_after(spark, tmp_path):
     assert "get_json_object" not in text and "from_json" not in text
 
 
+def test_stored_trips_are_cleaned_without_their_raw_text(spark, tmp_path):
+    stored = stored_log(spark, parse_trips(feeds.trips_log(spark, SF)), tmp_path / "bronze")
+    for frame in (clean_trips(stored), trip_rejects(stored)):
+        assert "value_str" not in re.search(r"ReadSchema: (\S+)", plan(frame)).group(1)
+
+
 def test_small_dimension_is_broadcast_and_statistics_shuffle_once(spark):
     trips = clean_trips(parse_trips(feeds.trips_log(spark, SF)))
     enriched = enrich_zones(trips, feeds.zones(spark, SF))
