@@ -232,6 +232,16 @@ FROM driver_changes""",
     "stream_bronze": _BRONZE_IDS,
     "stream_mirror": _DRIVER_ROWS,
     "time_travel": _CUSTOMER_ROWS,
+    "whole_run": f"""
+WITH {_CHANGES}, {_drivers()}, {_RAW_TRIPS}, hourly AS ({_stats('hour')})
+SELECT 'bronze_cdc_events' AS table_name,
+       (SELECT count(*) FROM changes) + (SELECT count(*) FROM driver_changes) AS row_count
+UNION ALL SELECT 'bronze_taxi_trips', count(*) FROM lineitem
+UNION ALL SELECT 'silver_customers', count(*) FROM customers
+UNION ALL SELECT 'silver_drivers', count(*) FROM drivers
+UNION ALL SELECT 'silver_taxi_trips', count(*) FROM clean
+UNION ALL SELECT 'gold_taxi_aggregates', count(*) FROM hourly""",
+    "checkpointed_run": _HOURLY,
     "version_history": f"""
 WITH {_CHANGES}
 SELECT CAST(1 AS BIGINT) AS version, 'overwrite' AS operation, count(*) AS row_count

@@ -10,6 +10,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.config import PipelineConfig
 from millrace.operators import (
     beyond_high_water,
     change_rejects,
@@ -35,7 +36,21 @@ from millrace.operators import (
     with_change_key,
     zone_stats,
 )
-from millrace.schemas import CUSTOMERS, CUSTOMERS_TOPIC, DRIVERS, DRIVERS_TOPIC, RECORD_ID
+from millrace.plans import Folders, run_incremental, run_pipeline
+from millrace.schemas import (
+    BRONZE_CHANGES,
+    BRONZE_TRIPS,
+    CUSTOMERS,
+    CUSTOMERS_TOPIC,
+    DRIVERS,
+    DRIVERS_TOPIC,
+    GOLD_STATS,
+    RECORD_ID,
+    SILVER_CUSTOMERS,
+    SILVER_DRIVERS,
+    SILVER_TRIPS,
+    TRIPS_TOPIC,
+)
 from millrace.session import shared_folder
 from millrace.sinks import (
     append_table,
@@ -391,7 +406,44 @@ def backfill_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(spark.table(table).drop("pickup_month"), "pickup_hour")
 
 
+def _deployment(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
+    """Both logs and the zones as files, and settings that read them."""
+    database = _scratch_database(spark)
+    root = shared_folder(spark, "logs")
+    changes = feeds.customers_log(spark, sf_dir).unionByName(feeds.drivers_log(spark, sf_dir))
+    changes.write.parquet(f"{root}/changes")
+    feeds.trips_log(spark, sf_dir).write.parquet(f"{root}/trips")
+    feeds.zones(spark, sf_dir).write.parquet(f"{root}/zones")
+    cfg = PipelineConfig(
+        changes=LogSource((CUSTOMERS_TOPIC, DRIVERS_TOPIC), path=f"{root}/changes"),
+        trips=LogSource((TRIPS_TOPIC,), path=f"{root}/trips"),
+        zones_path=f"{root}/zones",
+        database=database,
+        partition_grain="month",
+    )
+    return cfg, root
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages from logs to tables, run twice; the sizes of the tables."""
+    cfg, _ = _deployment(spark, sf_dir)
+    for _ in range(2):
+        run_pipeline(spark, cfg)
+    names = (BRONZE_CHANGES, BRONZE_TRIPS, SILVER_CUSTOMERS, SILVER_DRIVERS, SILVER_TRIPS, GOLD_STATS)
+    return table_counts({name: spark.table(cfg.table(name)) for name in names})
+
+
+def checkpointed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages driven by checkpoints, run twice; the stored statistics."""
+    cfg, root = _deployment(spark, sf_dir)
+    for _ in range(2):
+        run_incremental(spark, cfg, Folders(f"{root}/run"))
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
 QUERIES: dict[str, Query] = {
+    "whole_run": whole_run,
+    "checkpointed_run": checkpointed_run,
     "cdc_parse": cdc_parse,
     "cdc_key": cdc_key,
     "cdc_latest": cdc_latest,

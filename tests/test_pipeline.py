@@ -175,3 +175,17 @@ def test_undecodable_messages_are_kept_as_bytes(spark, inputs, database, tmp_pat
     assert spark.table(f"{database}.silver_taxi_rejects").count() == 2
     assert spark.table(f"{database}.silver_taxi_trips").count() == 1
     assert WHEN == spark.table(f"{database}.bronze_taxi_trips").first().kafka_timestamp
+
+
+def test_incremental_run_with_nothing_waiting(spark, inputs, database, tmp_path):
+    empty = str(tmp_path / "empty")
+    spark.read.parquet(str(inputs / "trips")).limit(0).write.parquet(empty)
+    cfg = PipelineConfig(
+        changes=LogSource((CUSTOMERS_TOPIC,), path=empty),
+        trips=LogSource((TRIPS_TOPIC,), path=empty),
+        zones_path=str(inputs / "zones"),
+        database=database,
+    )
+    for _ in range(2):
+        run_incremental(spark, cfg, Folders(str(tmp_path / "run")))
+    assert spark.catalog.listTables(database) == []
