@@ -1,4 +1,4 @@
-from millrace.plans.batch import StageReport, ValidationError, backfill, run_pipeline
+from millrace.plans.batch import StageReport, ValidationError, backfill, restore, run_pipeline
 from millrace.plans.incremental import Folders, run_incremental
 
 __all__ = [
@@ -6,6 +6,7 @@ __all__ = [
     "StageReport",
     "ValidationError",
     "backfill",
+    "restore",
     "run_incremental",
     "run_pipeline",
 ]

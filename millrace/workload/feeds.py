@@ -16,14 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
+def spread(frame: DataFrame, by: str) -> DataFrame:
     """``frame`` over all cores when its files have fewer splits than there are cores.
 
     Encoding is heavy for the CPU; a table of one row group would be encoded by one task. A
-    table with enough splits is left as it is, without a shuffle.
+    table with enough splits is left as it is, without a shuffle. ``by`` is a unique column:
+    hashing it is even, and needs no sort to be repeatable as a round robin does.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    return frame.repartition(cores, by) if frame.rdd.getNumPartitions() < cores else frame
 
 
 def _message(*fields: Column) -> Column:
@@ -48,7 +49,8 @@ def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spread(
         table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
-        )
+        ),
+        "o_orderkey",
     )
     domain = F.lit("@example.com")
 
@@ -113,7 +115,7 @@ def drivers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value"
     )
-    return spread(events).select(
+    return spread(events, "event_id").select(
         F.lit(DRIVERS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
@@ -192,7 +194,7 @@ def trips_log(
         "l_shipdate",
         F.monotonically_increasing_id().alias("offset"),
     )
-    return spread(lines).select(
+    return spread(lines, "offset").select(
         F.lit(TRIPS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         "offset",

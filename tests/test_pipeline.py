@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from helpers import WHEN, raw, rows, trip
+from helpers import WHEN, change, image, log, raw, rows, trip
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -19,10 +19,17 @@ from millrace.operators import (
     undecodable,
     zone_stats,
 )
-from millrace.plans import Folders, ValidationError, backfill, run_incremental, run_pipeline
+from millrace.plans import (
+    Folders,
+    ValidationError,
+    backfill,
+    restore,
+    run_incremental,
+    run_pipeline,
+)
 from millrace.plans.batch import counts, stale_topics
 from millrace.schemas import CUSTOMERS, CUSTOMERS_TOPIC, DRIVERS, DRIVERS_TOPIC, TRIPS_TOPIC
-from millrace.sinks import read_version
+from millrace.sinks import append_table, read_version, version_history
 from millrace.sources import LogSource
 from millrace.workload import feeds
 
@@ -98,6 +105,7 @@ def test_two_runs_give_one_result_and_backfill_keeps_it(spark, inputs, database,
     assert 0 < report.rows["silver_taxi_trips"] < 5747
     assert spark.table(f"{database}.silver_taxi_trips").count() == 5747
     assert same(spark.table(f"{database}.gold_taxi_aggregates"), gold)
+    assert version_history(spark, cfg.data("silver_customers")).count() == 2
     with pytest.raises(ValueError, match="first days"):
         backfill(spark, cfg, dt.date(1997, 3, 2), dt.date(1997, 5, 1))
 
@@ -115,6 +123,20 @@ def test_mirror_that_differs_from_its_source_stops_the_run(spark, inputs, databa
     }
 
 
+def test_a_bad_rebuild_can_be_taken_back(spark, inputs, database, tmp_path):
+    cfg = config(inputs, database, tmp_path)
+    run_pipeline(spark, cfg)
+    view = f"{database}.silver_customers"
+    before = rows(spark.table(view))
+    mistake = change(10**9, "d", 10**15, 1, before=image(before[0][0]))
+    wrong = parse_change_events(log(spark, [mistake]), keep_undecoded=True)
+    append_table(wrong, cfg.data("bronze_cdc_events"), partition_by=["topic"])
+    run_pipeline(spark, cfg)
+    assert rows(spark.table(view)) == before[1:]
+    restore(spark, cfg, "silver_customers", 1)
+    assert rows(spark.table(view)) == before
+
+
 def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path):
     changes, trips = str(tmp_path / "changes"), str(tmp_path / "trips")
     cfg = PipelineConfig(
@@ -141,7 +163,7 @@ def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path)
     for entity, want in ((CUSTOMERS, customers), (DRIVERS, drivers)):
         state = read_version(spark, cfg.table(f"{entity.name}_state"))
         assert same(live_rows(state, entity), want)
-        assert same(spark.table(cfg.mirror(entity)), want)
+        assert same(spark.table(cfg.table(cfg.mirror(entity))), want)
     assert spark.table(cfg.table("bronze_cdc_events")).count() == all_changes.count()
     assert spark.table(cfg.table("bronze_taxi_trips")).count() == all_trips.count()
     trips = enrich_zones(clean_trips(parse_trips(all_trips)), feeds.zones(spark, SF))
