@@ -60,13 +60,13 @@ def _with_key_text(events: DataFrame, key: str) -> DataFrame:
     )
 
 
-def with_change_key(events: DataFrame, key: str = "id") -> DataFrame:
-    """Events that concern one row, with its integer ``primary_key`` and a numeric order."""
+def with_change_key(events: DataFrame, key: str = "id", key_type: str = "int") -> DataFrame:
+    """Events that concern one row, with its ``primary_key`` and a numeric order."""
     return (
         _with_key_text(events, key)
         .withColumns(
             {
-                "primary_key": F.col("key_text").try_cast("int"),
+                "primary_key": F.col("key_text").try_cast(key_type),
                 "change_ts": F.col("ts_ms").try_cast("bigint"),
                 "change_lsn": F.col("lsn").try_cast("bigint"),
             }
@@ -97,7 +97,8 @@ def change_state(events: DataFrame, entity: Entity) -> DataFrame:
 
     Only the columns the state needs go through the shuffle; row images are still text.
     """
-    keyed = with_change_key(events.filter(entity.matches(F.col("topic"))), entity.key)
+    own = events.filter(entity.matches(F.col("topic")))
+    keyed = with_change_key(own, entity.key, entity.key_type)
     return latest_per_key(keyed.select(*STATE_COLUMNS), STATE_KEY, CHANGE_ORDER)
 
 
@@ -163,7 +164,7 @@ def change_rejects(log: DataFrame, entity: Entity) -> DataFrame:
         .when(F.col("value_str").isNull(), "not_utf8")
         .when(images.isNull(), "no_envelope")
         .when(F.col("key_text").isNull(), "no_key")
-        .when(F.col("key_text").try_cast("int").isNull(), "bad_key")
+        .when(F.col("key_text").try_cast(entity.key_type).isNull(), "bad_key")
         .when(F.col("op").isNull(), "no_op")
     )
     return (

@@ -77,7 +77,8 @@ class Entity:
     """One mirrored source table.
 
     ``fields`` maps each image field to the type of the mirror column. Strings are the
-    default because the log carries no column types; a type other than string is opt-in.
+    default because the log carries no column types; a type other than string is opt-in. The
+    key needs a whole-number type: ``bigint`` where ids outgrow ``int``.
     """
 
     name: str
@@ -90,6 +91,10 @@ class Entity:
         """True for this entity's topic, written on the plain column so that scans can prune."""
         return topic.contains(self.topic) if self.any_topic_containing else topic == self.topic
 
+    @property
+    def key_type(self) -> str:
+        return dict(self.fields)[self.key]
+
     @property
     def columns(self) -> list[str]:
         return [name for name, _ in self.fields]

@@ -13,13 +13,13 @@ _CHANGES = f"""
 changes AS (
   SELECT '{CUSTOMERS_TOPIC}' AS topic, 0 AS "partition", c_custkey AS "offset",
          TIMESTAMP '1970-01-01' AS kafka_timestamp, 'r' AS op, CAST(0 AS BIGINT) AS ts_ms,
-         CAST(0 AS BIGINT) AS lsn, CAST(c_custkey AS INTEGER) AS id, c_name AS name,
+         CAST(0 AS BIGINT) AS lsn, c_custkey AS id, c_name AS name,
          lower(c_mktsegment) || '@example.com' AS email, 'NATION_' || c_nationkey AS country
   FROM customer
   UNION ALL
   SELECT '{CUSTOMERS_TOPIC}', 1, o_orderkey, o_orderdate,
          CASE WHEN o_orderstatus = 'P' THEN 'd' ELSE 'u' END, epoch_us(o_orderdate) // 1000,
-         o_orderkey + 1, CAST(o_custkey AS INTEGER),
+         o_orderkey + 1, o_custkey,
          'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'),
          lower(substr(o_orderpriority, 3)) || '@example.com', 'NATION_' || (o_orderkey % 25)
   FROM orders
@@ -44,7 +44,7 @@ def _drivers(until: str = "TRUE") -> str:
 driver_changes AS (
   SELECT '{DRIVERS_TOPIC}' AS topic, 0 AS "partition", event_id AS "offset", ts,
          CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
-         epoch_us(ts) // 1000 AS ts_ms, event_id AS lsn, CAST(user_id AS INTEGER) AS id,
+         epoch_us(ts) // 1000 AS ts_ms, event_id AS lsn, user_id AS id,
          'driver_' || user_id AS name, 'LIC' || event_id AS license_number, value AS rating,
          event_type AS city, value > 10 AS active
   FROM events WHERE {until}
@@ -199,7 +199,7 @@ UNION ALL SELECT 'drivers', count(*) FROM drivers""",
     "reconcile": f"""
 WITH {_CHANGES},
 source AS (
-  SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name,
+  SELECT c_custkey AS id, c_name AS name,
          lower(c_mktsegment) || '@example.com' AS email, 'NATION_' || c_nationkey AS country
   FROM customer WHERE c_acctbal >= 0
 )

@@ -10,6 +10,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.config import PipelineConfig
 from millrace.operators import (
     beyond_high_water,
@@ -40,9 +41,7 @@ from millrace.plans import Folders, run_incremental, run_pipeline
 from millrace.schemas import (
     BRONZE_CHANGES,
     BRONZE_TRIPS,
-    CUSTOMERS,
     CUSTOMERS_TOPIC,
-    DRIVERS,
     DRIVERS_TOPIC,
     GOLD_STATS,
     RECORD_ID,
@@ -50,6 +49,7 @@ from millrace.schemas import (
     SILVER_DRIVERS,
     SILVER_TRIPS,
     TRIPS_TOPIC,
+    Entity,
 )
 from millrace.session import shared_folder
 from millrace.sinks import (
@@ -73,13 +73,17 @@ NOW = "2024-01-31 00:00:00"
 INTERVAL = (dt.datetime(1997, 3, 1), dt.datetime(1997, 4, 1))
 SPOT_CHECK_NAME = "Customer#000000007"
 
-TYPED_DRIVERS = replace(
-    DRIVERS,
-    fields=tuple(
-        (name, {"rating": "double", "active": "boolean"}.get(name, kind))
-        for name, kind in DRIVERS.fields
-    ),
-)
+
+
+def _typed(entity: Entity, **kinds: str) -> Entity:
+    fields = tuple((name, kinds.get(name, kind)) for name, kind in entity.fields)
+    return replace(entity, fields=fields)
+
+
+# The tables have 64-bit keys.
+CUSTOMERS = _typed(schemas.CUSTOMERS, id="bigint")
+DRIVERS = _typed(schemas.DRIVERS, id="bigint")
+TYPED_DRIVERS = _typed(DRIVERS, rating="double", active="boolean")
 
 
 def _local(df: DataFrame, *columns: str) -> DataFrame:
@@ -117,7 +121,7 @@ def cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = with_change_key(_driver_changes(spark, sf_dir))
+    keyed = with_change_key(_driver_changes(spark, sf_dir), key_type="bigint")
     return keyed.select("topic", "offset", "primary_key", "change_ts", "change_lsn")
 
 
@@ -291,7 +295,7 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
         feeds.table(spark, sf_dir, "customer")
         .filter(F.col("c_acctbal") >= 0)
         .select(
-            F.col("c_custkey").cast("int").alias("id"),
+            F.col("c_custkey").alias("id"),
             F.col("c_name").alias("name"),
             F.concat(F.lower("c_mktsegment"), F.lit("@example.com")).alias("email"),
             F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("country"),
@@ -419,6 +423,7 @@ def _deployment(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
         trips=LogSource((TRIPS_TOPIC,), path=f"{root}/trips"),
         zones_path=f"{root}/zones",
         database=database,
+        entities=(CUSTOMERS, DRIVERS),
         partition_grain="month",
     )
     return cfg, root

@@ -150,6 +150,16 @@ def test_driver_columns_are_text_unless_typed(spark):
     assert mirror(spark, messages, typed) == [(4, 4.5, True)]
 
 
+def test_keys_beyond_int_need_a_wider_type(spark):
+    messages = [change(0, "c", 1, 1, after=image(2**40))]
+    assert mirror(spark, messages) == []
+    assert [r.reason for r in change_rejects(log(spark, messages), CUSTOMERS).collect()] == [
+        "bad_key"
+    ]
+    wide = Entity("customers", CUSTOMERS.topic, (("id", "bigint"), ("name", "string")))
+    assert mirror(spark, messages, wide) == [(2**40, "n")]
+
+
 def test_as_of_includes_its_instant(spark):
     events = parse_change_events(
         log(

@@ -59,10 +59,12 @@ def test_mirror_follows_the_log_batch_by_batch(spark, tmp_path, database):
     source = LogSource((CUSTOMERS_TOPIC,), path=path, options={"maxFilesPerTrigger": "1"})
     for _ in range(2):
         events = parse_change_events(stream_log(spark, source))
-        run_mirror(events, CUSTOMERS, table, str(tmp_path / "cp"), buckets=4)
+        view = f"{database}.customers"
+        run_mirror(events, CUSTOMERS, table, str(tmp_path / "cp"), buckets=4, keep=1, view=view)
 
     assert version_history(spark, table).count() == 3
     got = live_rows(read_version(spark, table), CUSTOMERS)
     whole = change_state(parse_change_events(read_log(spark, source)), CUSTOMERS)
     assert rows(got) == rows(live_rows(whole, CUSTOMERS))
     assert rows(got.select("id", "name")) == [(2, "newer"), (3, "n")]
+    assert rows(spark.table(f"{database}.customers")) == rows(got)
