@@ -1,7 +1,15 @@
-from millrace.plans.batch import StageReport, ValidationError, backfill, restore, run_pipeline
+from millrace.plans.batch import (
+    STAGES,
+    StageReport,
+    ValidationError,
+    backfill,
+    restore,
+    run_pipeline,
+)
 from millrace.plans.incremental import Folders, run_incremental
 
 __all__ = [
+    "STAGES",
     "Folders",
     "StageReport",
     "ValidationError",

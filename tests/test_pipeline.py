@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from helpers import WHEN, change, image, log, raw, rows, trip
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.__main__ import main
 from millrace.config import PipelineConfig
 from millrace.operators import (
     clean_trips,
@@ -211,3 +213,40 @@ def test_incremental_run_with_nothing_waiting(spark, inputs, database, tmp_path)
     for _ in range(2):
         run_incremental(spark, cfg, Folders(str(tmp_path / "run")))
     assert spark.catalog.listTables(database) == []
+
+
+def test_command_line_runs_stages_and_reports(spark, inputs, database, tmp_path, capsys):
+    config_file = tmp_path / "config.json"
+    config_file.write_text(
+        json.dumps(
+            {
+                "changes": {
+                    "topics": [CUSTOMERS_TOPIC, DRIVERS_TOPIC],
+                    "path": str(inputs / "changes"),
+                },
+                "trips": {"topics": [TRIPS_TOPIC], "path": str(inputs / "trips")},
+                "zones_path": str(inputs / "zones"),
+                "database": database,
+                "partition_grain": "month",
+            }
+        )
+    )
+    customers, _, _ = expected(spark, inputs)
+    customers.write.parquet(str(tmp_path / "customers"))
+
+    def run(*argv):
+        status = main([str(config_file), *argv])
+        return status, capsys.readouterr().out
+
+    status, out = run("run", "ingest-changes", "mirrors", "--source", f"customers={tmp_path}/customers")
+    assert status == 0
+    assert f"customers: {customers.count()} rows" in out
+    assert "silver_taxi_trips" not in out
+    status, out = run("run")
+    assert (status, "silver_taxi_trips: 5747 rows" in out) == (0, True)
+    assert run("report")[1].count("\n|") == 1 + 10
+    assert str(customers.count()) in run("counts")[1]
+    assert run("backfill", "1997-03-01", "1997-04-01")[0] == 0
+    assert run("restore", "silver_customers", "1")[0] == 0
+    assert run("freshness", "1990-01-01T00:00:00")[0] == 0
+    assert run("freshness", "2030-01-01T00:00:00")[0] == 1
