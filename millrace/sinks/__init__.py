@@ -9,6 +9,7 @@ from millrace.sinks.tables import (
 from millrace.sinks.versions import (
     commit_version,
     current_data_table,
+    current_version,
     expire_versions,
     read_version,
     roll_back,
@@ -20,6 +21,7 @@ __all__ = [
     "append_table",
     "commit_version",
     "current_data_table",
+    "current_version",
     "ensure_database",
     "expire_versions",
     "files",

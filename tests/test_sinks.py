@@ -7,7 +7,7 @@ from helpers import change, image, log, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import live_rows, parse_change_events
-from millrace.schemas import CUSTOMERS
+from millrace.schemas import CUSTOMERS, DRIVERS
 from millrace.sinks import (
     append_table,
     commit_version,
@@ -122,6 +122,19 @@ def test_folding_the_same_batch_twice_changes_nothing(spark, database):
     assert rows(live.select("id")) == [(1,), (3,)]
 
 
+def test_events_of_others_do_not_rewrite_the_state(spark, database):
+    state = f"{database}.state"
+    own = parse_change_events(log(spark, [change(0, "c", 1, 1, after=image(1))]))
+    other = parse_change_events(
+        log(spark, [change(0, "c", 1, 1, after=image(1), topic=DRIVERS.topic)])
+    )
+    assert fold_batch(other, CUSTOMERS, state, buckets=2) == 1
+    assert read_version(spark, state).count() == 0
+    assert fold_batch(own, CUSTOMERS, state, buckets=2) == 2
+    assert fold_batch(other, CUSTOMERS, state, buckets=2) == 2
+    assert version_history(spark, state).count() == 2
+
+
 def test_zones_are_read_with_two_columns(spark, tmp_path):
     path = str(tmp_path / "zones")
     spark.createDataFrame(
