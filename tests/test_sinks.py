@@ -135,9 +135,12 @@ def test_events_of_others_do_not_rewrite_the_state(spark, database):
     assert version_history(spark, state).count() == 2
 
 
-def test_zones_are_read_with_two_columns(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_zones_are_read_with_two_columns(spark, tmp_path, kind):
     path = str(tmp_path / "zones")
     spark.createDataFrame(
-        [(1, "A", "x"), (2, "B", "y")], "LocationID int, Zone string, Borough string"
+        [(1, "A", "x"), (2, "B", "y")], f"LocationID {kind}, Zone string, Borough string"
     ).write.parquet(path)
-    assert read_zones(spark, path).columns == ["LocationID", "Zone"]
+    zones = read_zones(spark, path)
+    assert zones.dtypes == [("LocationID", "int"), ("Zone", "string")]
+    assert rows(zones) == [(1, "A"), (2, "B")]
