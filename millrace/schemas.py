@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 # Topics, table names, field names and column order of the data contract.
 CUSTOMERS_TOPIC = "dbserver1.public.customers"

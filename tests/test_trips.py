@@ -16,7 +16,7 @@ from millrace.operators import (
     undecodable,
     zone_stats,
 )
-from millrace.schemas import SILVER_TRIP_SCHEMA, TRIP_FIELDS, TRIPS_TOPIC, ZONE_SCHEMA, column_names
+from millrace.schemas import SILVER_TRIP_SCHEMA, TRIP_FIELDS, TRIPS_TOPIC, ZONE_SCHEMA
 
 ONE = dt.datetime(2026, 1, 1, 1, 0, 0)
 
