@@ -99,18 +99,19 @@ def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return initial.unionByName(changed)
 
 
-def drivers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A change per event; the event's user is the driver."""
+def drivers_log(spark: SparkSession, sf_dir: str, driver: Column | None = None) -> DataFrame:
+    """A change per event; the event's user is the driver, unless another column says so."""
     kind = F.col("event_type")
+    driver = F.col("user_id") if driver is None else driver
     image = F.struct(
-        F.col("user_id").alias("id"),
-        F.concat(F.lit("driver_"), F.col("user_id")).alias("name"),
+        driver.alias("id"),
+        F.concat(F.lit("driver_"), driver).alias("name"),
         F.concat(F.lit("LIC"), F.col("event_id")).alias("license_number"),
         F.col("value").alias("rating"),
         kind.alias("city"),
         (F.col("value") > 10).alias("active"),
     )
-    old = F.struct(F.col("user_id").alias("id"))
+    old = F.struct(driver.alias("id"))
     op = F.when(kind == "error", "d").when(kind == "signup", "c").otherwise("u")
     events = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value"

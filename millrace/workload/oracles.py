@@ -39,13 +39,13 @@ _JSON = (
 )
 
 
-def _drivers(until: str = "TRUE") -> str:
+def _drivers(until: str = "TRUE", driver: str = "user_id") -> str:
     return f"""
 driver_changes AS (
   SELECT '{DRIVERS_TOPIC}' AS topic, 0 AS "partition", event_id AS "offset", ts,
          CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
-         epoch_us(ts) // 1000 AS ts_ms, event_id AS lsn, user_id AS id,
-         'driver_' || user_id AS name, 'LIC' || event_id AS license_number, value AS rating,
+         epoch_us(ts) // 1000 AS ts_ms, event_id AS lsn, {driver} AS id,
+         'driver_' || ({driver}) AS name, 'LIC' || event_id AS license_number, value AS rating,
          event_type AS city, value > 10 AS active
   FROM events WHERE {until}
 ),
@@ -58,7 +58,8 @@ drivers AS (
 """
 
 
-_RAW_TRIPS = """
+def _raw_trips(place: str = "l_partkey % 30") -> str:
+    return f"""
 raw_trips AS (
   SELECT *, l_shipdate + to_hours(l_orderkey % 24) + to_minutes(l_linenumber * 7) AS pickup
   FROM lineitem
@@ -67,7 +68,7 @@ trips AS (
   SELECT CAST(l_suppkey % 2 + 1 AS VARCHAR) AS vendor_id, pickup AS pickup_datetime,
          pickup + to_minutes(CAST(l_quantity AS INTEGER)) AS dropoff_datetime,
          l_linenumber AS passenger_count, l_quantity / 2 AS trip_distance,
-         CAST(l_partkey % 30 AS INTEGER) AS pulocation_id,
+         CAST({place} AS INTEGER) AS pulocation_id,
          CAST(l_suppkey % 30 AS INTEGER) AS dolocation_id,
          l_extendedprice / 1000 - 5 AS fare_amount, CAST(0.5 AS DOUBLE) AS extra,
          CAST(0.5 AS DOUBLE) AS mta_tax, l_discount * 100 AS tip_amount,
@@ -83,6 +84,9 @@ picked AS (
 )
 """
 
+
+_RAW_TRIPS = _raw_trips()
+
 _CLEAN_COLUMNS = (
     "vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, "
     "pulocation_id, dolocation_id, fare_amount, extra, mta_tax, tip_amount, tolls_amount, "
@@ -137,6 +141,11 @@ SELECT id, name FROM customers UNION ALL SELECT id, name FROM drivers""",
     "cdc_replayed": _CUSTOMER_ROWS,
     "cdc_as_of": f"WITH {_drivers(f'epoch_us(ts) // 1000 <= {AS_OF_MS}')} SELECT * FROM drivers",
     "cdc_incremental": _DRIVER_ROWS,
+    "cdc_hot_driver": (
+        "WITH "
+        + _drivers(driver="CASE WHEN event_type IN ('click', 'signup') THEN 7 ELSE user_id END")
+        + "SELECT * FROM drivers"
+    ),
     "cdc_op_counts": f"WITH {_CHANGES} SELECT op, count(*) AS events FROM changes GROUP BY op",
     "cdc_rejects": """
 SELECT CASE event_type WHEN 'click' THEN 'not_utf8' WHEN 'view' THEN 'no_value'
@@ -186,6 +195,11 @@ WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "gold_hourly": _HOURLY,
     "gold_daily": f"WITH {_RAW_TRIPS} {_stats('day')}",
+    "gold_hot_zone": (
+        "WITH "
+        + _raw_trips("CASE WHEN l_linenumber <= 3 THEN 7 ELSE l_partkey % 30 END")
+        + _stats("hour")
+    ),
     "gold_top10": f"""
 SELECT * FROM ({_HOURLY}) ORDER BY pickup_hour DESC, total_trips DESC, pickup_zone LIMIT 10""",
     "backfill_interval": f"""

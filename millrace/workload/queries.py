@@ -177,6 +177,13 @@ def cdc_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_rows(state, TYPED_DRIVERS)
 
 
+def cdc_hot_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in which two kinds of event out of five, whoever caused them, change one driver."""
+    driver = F.when(F.col("event_type").isin("click", "signup"), F.lit(7).cast("bigint"))
+    log = feeds.drivers_log(spark, sf_dir, driver.otherwise(F.col("user_id")))
+    return current_state(parse_change_events(log), TYPED_DRIVERS)
+
+
 def cdc_op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(spark, sf_dir).groupBy("op").agg(F.count("*").alias("events"))
 
@@ -273,6 +280,14 @@ def gold_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(latest_hours(zone_stats(_pickup_trips(spark, sf_dir))), "pickup_hour")
 
 
+def gold_hot_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of which the first three lines of every order start in one zone."""
+    place = F.when(F.col("l_linenumber") <= 3, F.lit(7).cast("bigint"))
+    log = feeds.trips_log(spark, sf_dir, place.otherwise(F.col("l_partkey") % 30))
+    trips = enrich_zones(clean_trips(parse_trips(log)), feeds.zones(spark, sf_dir), ["pickup"])
+    return _local(zone_stats(trips), "pickup_hour")
+
+
 def backfill_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = (F.lit(edge).cast("timestamp") for edge in INTERVAL)
     time = F.col("pickup_datetime")
@@ -459,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "cdc_replayed": cdc_replayed,
     "cdc_as_of": cdc_as_of,
     "cdc_incremental": cdc_incremental,
+    "cdc_hot_driver": cdc_hot_driver,
     "cdc_op_counts": cdc_op_counts,
     "cdc_rejects": cdc_rejects,
     "spot_check": spot_check,
@@ -473,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "gold_hourly": gold_hourly,
     "gold_daily": gold_daily,
     "gold_top10": gold_top10,
+    "gold_hot_zone": gold_hot_zone,
     "backfill_interval": backfill_interval,
     "backfill_month": backfill_month,
     "counts": counts,
