@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from helpers import WHEN, change, image, log, raw, rows, trip
@@ -48,6 +49,11 @@ def same(first, second):
     return multiset_difference(first, second).count() == 0
 
 
+def partition_filters(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text, re.S).group(1)
+
+
 @pytest.fixture(scope="module")
 def inputs(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("inputs")
@@ -103,6 +109,11 @@ def test_two_runs_give_one_result_and_backfill_keeps_it(spark, inputs, database,
         ("drivers", drivers.count()),
     ]
 
+    changes = spark.table(f"{database}.bronze_cdc_events")
+    assert "topic#" in partition_filters(current_state(changes, CUSTOMERS))
+    march = F.col("pickup_date") == F.lit(dt.date(1997, 3, 1))
+    trips = spark.table(cfg.data("bronze_taxi_trips")).filter(march)
+    assert "pickup_date#" in partition_filters(clean_trips(trips))
     report = backfill(spark, cfg, dt.date(1997, 3, 1), dt.date(1997, 5, 1))
     assert 0 < report.rows["silver_taxi_trips"] < 5747
     assert spark.table(f"{database}.silver_taxi_trips").count() == 5747
