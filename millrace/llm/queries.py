@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, language, licenses, pii, quality, secret_scan, urls
+from millrace.llm import bpe, chat, jaccard, language, licenses, pii, quality, secret_scan, urls
 from millrace.llm.common import table
 from millrace.llm.spans import digest_columns
 
@@ -39,6 +39,10 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return pii.scan_pii(documents).select("doc_id", *digest_columns(pii.BASE_KINDS))
@@ -95,6 +99,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
     "op3_urls": op3_urls,
+    "op5_jaccard": op5_jaccard,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op8_language": op8_language,
