@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, jaccard, language, licenses, pii, quality, secret_scan, urls
+from millrace.llm import bpe, chat, jaccard, language, licenses, pii, quality, secret_scan, templates, urls
 from millrace.llm.common import table
 from millrace.llm.spans import digest_columns
 
@@ -39,6 +39,11 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return templates.contaminated(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
     "op3_urls": op3_urls,
+    "op4_templates": op4_templates,
     "op5_jaccard": op5_jaccard,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
