@@ -134,8 +134,8 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     count = len(hashes) - size + 1
     out = np.full(count, size, np.uint64)
     for k in range(size):
-        out = mix(out * _BASE + hashes[k : k + count])
-    return out
+        out = out * _BASE + hashes[k : k + count]
+    return mix(out)
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:

@@ -29,16 +29,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructType
 
-from millrace.llm.common import Bitmap, arrow_map, mix, shingles, signed, stored
+from millrace.llm.common import Bitmap, arrow_map, extended, mix, shingles, signed, stored
 from millrace.llm.components import components
 
 SIZE = 5
 # Linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 FREQUENT = 64
-CELLS = 64
+LEAST_CELLS = 64
+MOST_CELLS = 4096
+NEAREST = 3
+MOST_SEEN = 500_000
 FREQUENT_BITS = 24
 WANTED_BITS = 24
 BLOCK_ROWS = 4096
@@ -54,10 +57,21 @@ def digest(found: np.ndarray) -> int:
     return int(np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64).astype(np.int64))
 
 
+def cells_for(n: int) -> int:
+    """About four shingles a cell, a power of two, so that sketches of two sizes can be compared."""
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, (n - 1) // 4).bit_length()))
+
+
 def sketch(found: np.ndarray) -> bytes:
-    """How many shingles fall in each cell, up to 255."""
-    cells = np.bincount((found >> np.uint64(20)).astype(np.int64) % CELLS, minlength=CELLS)
-    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+    """How many shingles fall in each cell; empty when a count does not fit a byte."""
+    cells = cells_for(len(found))
+    counts = np.bincount((found >> np.uint64(20)).astype(np.int64) & (cells - 1), minlength=cells)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def folded(counts: np.ndarray, cells: int) -> np.ndarray:
+    """Counts in fewer cells."""
+    return counts.reshape(*counts.shape[:-1], -1, cells).sum(axis=-2, dtype=np.int16)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -65,17 +79,29 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= PERCENT * (len(a) + len(b) - common)
 
 
-def near_counts(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
-    """False only where the counts prove that the sets are too far from each other.
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """L1 distance of counts: at most the size of the symmetric difference of the sets."""
+    return np.abs(a.astype(np.int16) - b).sum(axis=-1, dtype=np.int64)
+
+
+def too_far(gap, sizes):
+    """Whether a symmetric difference of ``gap`` or more proves that two sets do not link.
 
     Linked sets have ``|a ^ b| <= (1 - s) / (1 + s) * (|a| + |b|)`` with ``s = PERCENT / 100``.
     """
-    gap = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=-1, dtype=np.int64)
-    return gap * (100 + PERCENT) <= (100 - PERCENT) * (na + nb)
+    return gap * (100 + PERCENT) > (100 - PERCENT) * sizes
+
+
+def may_link(a: bytes, b: bytes, na: int, nb: int) -> bool:
+    if not a or not b:
+        return True
+    cells = min(len(a), len(b))
+    x, y = (folded(np.frombuffer(v, np.uint8), cells) for v in (a, b))
+    return not too_far(apart(x, y), na + nb)
 
 
 def _describe(frame: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, d, sketch) of every document."""
+    """(key, n, d, sketch, first) of every document; ``first`` has the shingles counted later."""
 
     def run(batches):
         for batch in batches:
@@ -86,28 +112,34 @@ def _describe(frame: DataFrame, key: str, text: str) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([s[: counted_length(len(s))].tobytes() for s in sets], pa.binary()),
                 ],
-                names=[key, "n", "d", "sketch"],
+                names=[key, "n", "d", "sketch", "first"],
             )
 
     source = frame.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
-    kinds = [StructField("n", LongType()), StructField("d", LongType()), StructField("sketch", BinaryType())]
-    return arrow_map(source, run, StructType([source.schema[0], *kinds]))
+    kinds = {"n": LongType(), "d": LongType(), "sketch": BinaryType(), "first": BinaryType()}
+    return arrow_map(source, run, extended(StructType([source.schema[0]]), **kinds))
+
 
+def counted_length(n: int) -> int:
+    """The prefix, and some more that takes the place of frequent shingles in it."""
+    return prefix_length(n) + n // 20 + 4
 
-def _sets(batches, seen: set | None = None):
-    """Distinct non-empty sets of a task's texts, as far as a bounded memory of digests goes."""
-    seen = set() if seen is None else seen
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            found = shingles(text, SIZE)
-            if len(found):
-                d = digest(found)
-                if d not in seen:
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(d)
-                    yield d, found
+
+class Seen:
+    """Digests that a task has met lately: copies inside a task cost nothing more."""
+
+    def __init__(self) -> None:
+        self.digests: set[int] = set()
+
+    def again(self, d: int) -> bool:
+        if d in self.digests:
+            return True
+        if len(self.digests) >= MOST_SEEN:
+            self.digests.clear()
+        self.digests.add(d)
+        return False
 
 
 def _gathered(parts, names, width: int = OUT_ROWS):
@@ -123,17 +155,20 @@ def _gathered(parts, names, width: int = OUT_ROWS):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
 
 
-def frequent_shingles(texts: DataFrame) -> Bitmap:
-    """Shingles that begin more than ``FREQUENT`` documents' prefixes, counted over all of them."""
+def frequent_shingles(described: DataFrame) -> Bitmap:
+    """Shingles that begin more than ``FREQUENT`` different sets, counted over all of them."""
 
     def run(batches):
         def parts():
-            for _, found in _sets(batches):
-                yield (signed(found[: prefix_length(len(found)) + len(found) // 10 + 8]),)
+            seen = Seen()
+            for batch in batches:
+                for d, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if d is not None and not seen.again(d):
+                        yield (np.frombuffer(first, np.int64),)
 
         yield from _gathered(parts(), ["token"])
 
-    tokens = arrow_map(texts, run, "token long")
+    tokens = arrow_map(described.select("d", "first"), run, "token long")
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > FREQUENT)
     return Bitmap.build(often, "token", FREQUENT_BITS)
 
@@ -144,16 +179,21 @@ def region_rows(texts: DataFrame, frequent: Bitmap) -> DataFrame:
 
     def run(batches):
         def parts():
-            bits = shared.value
-            for d, found in _sets(batches):
-                often = bits.holds(found)
-                order = np.concatenate((found[~often], found[often])) if often.any() else found
-                tokens = signed(order[: prefix_length(len(found))])
-                yield tokens, np.full(len(tokens), d, np.int64), np.full(len(tokens), len(found), np.int64)
+            bits, seen = shared.value, Seen()
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    found = shingles(text, SIZE)
+                    n = len(found)
+                    if not n or seen.again(d := digest(found)):
+                        continue
+                    often = bits.holds(found)
+                    order = np.concatenate((found[~often], found[often])) if often.any() else found
+                    tokens = signed(order[: prefix_length(n)])
+                    yield tokens, np.full(len(tokens), d, np.int64), np.full(len(tokens), n, np.int64)
 
         yield from _gathered(parts(), ["token", "d", "n"])
 
-    return arrow_map(texts, run, "token long, d long, n long")
+    return arrow_map(texts.select("text"), run, "token long, d long, n long")
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -205,29 +245,51 @@ def with_pivots(rows: DataFrame) -> DataFrame:
     return arrow_map(sorted_rows, run, "token long, d long, n long, pivot long")
 
 
-def _pairs_in_region(n: np.ndarray, d: np.ndarray, comp: np.ndarray, counts: np.ndarray):
-    """Pairs of one region, sorted by size, that no bound rules out, block by block."""
+def _pairs_in_region(n: np.ndarray, d: np.ndarray, comp: np.ndarray, sketches: list[bytes], nearest: int | None):
+    """Pairs of one region, sorted by size, that no bound rules out."""
+    cells = np.array([len(v) for v in sketches])
+    kinds = {}
+    for c in np.unique(cells):
+        at = np.flatnonzero(cells == c)
+        held = b"".join(sketches[k] for k in at)
+        kinds[int(c)] = (at, np.frombuffer(held, np.uint8).reshape(len(at), int(c)))
     for k in range(1, len(n)):
         low = np.searchsorted(n[:k], -(-PERCENT * n[k] // 100))
-        at = np.flatnonzero(comp[low:k] != comp[k]) + low
-        if len(at):
-            at = at[near_counts(counts[at], counts[k], n[at], n[k])]
-            if len(at):
-                yield d[at], np.full(len(at), d[k], np.int64)
-
-
-def rest_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b) of different components in a region. ``rows`` has token, block, other, ...
-
-    A region of more than ``BLOCK_ROWS`` rows comes as pairs of blocks, each a group of its own.
+        if low == k or (comp[low:k] == comp[k]).all():
+            continue
+        own = np.frombuffer(sketches[k], np.uint8)
+        found, gaps = [], []
+        for c, (at, counts) in kinds.items():
+            first, last = np.searchsorted(at, (low, k))
+            rows = np.flatnonzero(comp[at[first:last]] != comp[k]) + first
+            if not len(rows):
+                continue
+            gap = np.zeros(len(rows), np.int64)
+            if c and len(own):
+                less = min(c, len(own))
+                gap = apart(folded(counts[rows], less), folded(own, less))
+                near = ~too_far(gap, n[at[rows]] + n[k])
+                rows, gap = rows[near], gap[near]
+            found.append(at[rows])
+            gaps.append(gap)
+        if found and len(at := np.concatenate(found)):
+            if nearest is not None and len(at) > nearest:
+                at = at[np.argsort(np.concatenate(gaps), kind="stable")[:nearest]]
+            yield d[at], np.full(len(at), d[k], np.int64)
+
+
+def rest_pairs(rows: DataFrame, nearest: int | None) -> DataFrame:
+    """(a, b) of different components that share a region. ``rows`` has grp, n, d, ...
+
+    With ``nearest`` each set only gives so many, of the least distance by counts.
     """
 
     def run(batches):
         def parts():
             at, held = None, []
             for batch in batches:
-                g, s, n, d, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "side", "n", "d", "component"))
-                counts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS)
+                g, n, d, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "n", "d", "component"))
+                sketches = batch.column("sketch").to_pylist()
                 cuts = np.flatnonzero(np.diff(g)) + 1
                 for lo, hi in zip([0, *cuts], [*cuts, len(g)]):
                     if hi == lo:
@@ -236,48 +298,64 @@ def rest_pairs(rows: DataFrame) -> DataFrame:
                         yield from join(held)
                         held = []
                     at = g[lo]
-                    held.append((s[lo:hi], n[lo:hi], d[lo:hi], comp[lo:hi], counts[lo:hi]))
+                    held.append((n[lo:hi], d[lo:hi], comp[lo:hi], sketches[lo:hi]))
             yield from join(held)
 
         def join(held):
             if not held:
                 return
-            s, n, d, comp, counts = (np.concatenate(c) for c in zip(*held))
+            n, d, comp = (np.concatenate([h[k] for h in held]) for k in range(3))
+            sketches = [v for h in held for v in h[3]]
             order = np.argsort(n, kind="stable")
-            s, n, d, comp, counts = s[order], n[order], d[order], comp[order], counts[order]
-            for a, b in _pairs_in_region(n, d, comp, counts):
+            pairs = _pairs_in_region(n[order], d[order], comp[order], [sketches[k] for k in order], nearest)
+            for a, b in pairs:
                 yield np.minimum(a, b), np.maximum(a, b)
 
-        yield from _gathered(parts(), ["a", "b"])
+        def distinct():
+            for batch in _gathered(parts(), ["a", "b"]):
+                both = np.unique(np.stack([c.to_numpy() for c in batch.columns], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+        yield from distinct()
 
     return arrow_map(rows.repartition(F.col("grp")).sortWithinPartitions("grp"), run, "a long, b long")
 
 
-def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of distinct pairs (a, b) of digests those whose sets link. Only sets in a pair are moved."""
-    spark = texts.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("d"))
-    shared = spark.sparkContext.broadcast(Bitmap.build(ends, "d", WANTED_BITS))
+def verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of distinct pairs (a, b) of digests those whose sets link. Only sets in a pair are moved.
+
+    The texts to read again are those of the classes' first rows, told by a bit array of fixed
+    size; what it lets through besides is dropped by the join.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct()
+    wanted = stored(classes.select("d", "h", "n").join(ends, "d"), "jaccard-wanted")
+    shared = texts.sparkSession.sparkContext.broadcast(Bitmap.build(wanted, "h", WANTED_BITS))
 
     def pick(batches):
-        bits, seen = shared.value, set()
         for batch in batches:
-            found = [
-                (d, s.tobytes())
-                for d, s in _sets(iter([batch]), seen)
-                if bits.holds(np.array([d], np.int64).view(np.uint64))[0]
-            ]
+            hit = shared.value.holds(batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64))
+            part = batch.filter(pa.array(hit))
+            sets = [shingles(t, SIZE) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())],
-                names=["d", "shingles"],
+                [
+                    part.column("h"),
+                    pa.array([digest(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                names=["h", "d", "shingles"],
             )
 
-    sets = arrow_map(texts, pick, "d long, shingles binary")
-    sets = sets.join(ends.distinct(), "d", "left_semi").dropDuplicates(["d"])
-    sets = stored(sets, "jaccard-sets")
-    both = pairs.join(sets.select(F.col("d").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("d").alias("b"), F.col("shingles").alias("y")), "b"
+    sets = arrow_map(texts.select("h", "text"), pick, "h long, d long, shingles binary")
+    sets = sets.join(wanted.select("h", "d"), ["h", "d"], "left_semi").dropDuplicates(["d"])
+    sets = stored(sets.select("d", "shingles"), "jaccard-sets")
+    # The smaller set of a pair travels to the larger one.
+    size = wanted.select("d", "n")
+    sized = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+    turned = sized.select(
+        F.when(F.col("na") <= F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("small"),
+        F.when(F.col("na") <= F.col("nb"), F.col("b")).otherwise(F.col("a")).alias("large"),
     )
+    both = turned.join(sets.toDF("small", "x"), "small").join(sets.toDF("large", "y"), "large")
 
     def compare(batches):
         for batch in batches:
@@ -285,62 +363,66 @@ def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             keep = [linked(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return arrow_map(both.select("a", "b", "x", "y"), compare, "a long, b long")
+    named = both.select(F.least("small", "large").alias("a"), F.greatest("small", "large").alias("b"), "x", "y")
+    return arrow_map(named, compare, "a long, b long")
 
 
-def _near(pairs: DataFrame, described: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs that sizes and counts do not rule out."""
-    one = described.select("d", "n", "sketch")
+    one = classes.select("d", "n", "sketch")
     both = pairs.join(one.toDF("a", "na", "sa"), "a").join(one.toDF("b", "nb", "sb"), "b")
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
 
     def run(batches):
         for batch in batches:
-            counts = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("sa", "sb")
-            ]
-            na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-            yield batch.select(["a", "b"]).filter(pa.array(near_counts(*counts, na, nb)))
+            columns = (batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb"))
+            keep = [may_link(*row) for row in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return arrow_map(both.filter(fits).select("a", "b", "na", "nb", "sa", "sb"), run, "a long, b long")
 
 
-def link_classes(texts: DataFrame, described: DataFrame) -> DataFrame:
-    """(node, component) over digests, for those that link with another. ``texts`` has one column."""
-    regions = stored(with_pivots(region_rows(texts, frequent_shingles(texts))), "jaccard-regions")
-    stars = regions.filter(F.col("d") != F.col("pivot")).select(
-        F.least("d", "pivot").alias("a"), F.greatest("d", "pivot").alias("b")
-    )
-    tried = stored(_near(stars.distinct(), described), "jaccard-stars")
-    links = stored(verify(texts, tried), "jaccard-links")
-    known = stored(components(links), "jaccard-known")
+def _open_rows(regions: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of the regions that still hold several components, in groups of bounded size.
 
+    A region of more than ``BLOCK_ROWS`` rows comes as pairs of its blocks.
+    """
     named = regions.join(known.withColumnRenamed("node", "d"), "d", "left").select(
         "token", "d", "n", F.coalesce("component", "d").alias("component")
     )
-    open_regions = named.groupBy("token").agg(
+    several = named.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
     ).filter(F.col("low") != F.col("high"))
     blocks = F.ceil(F.col("rows") / BLOCK_ROWS)
-    left = named.join(open_regions.select("token", blocks.alias("blocks")), "token").join(
-        described.select("d", "sketch"), "d"
-    )
-    # Block pairs of a region: a set goes to each pair that has its own block.
+    left = named.join(several.select("token", blocks.alias("blocks")), "token")
     own = F.pmod(F.xxhash64("d"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
     spread = left.withColumn("block", own).select("*", other)
     grouped = spread.select(
         F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("grp"),
-        F.col("block").cast("int").alias("side"),
         "n",
         "d",
         "component",
-        "sketch",
     )
-    pairs = rest_pairs(grouped).distinct().join(tried, ["a", "b"], "left_anti")
-    pairs = stored(pairs, "jaccard-rest")
-    more = stored(verify(texts, pairs), "jaccard-links")
-    return components(links.unionByName(more))
+    return grouped.join(classes.select("d", "sketch"), "d")
+
+
+def link_classes(texts: DataFrame, described: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) over digests, for the sets that link with another."""
+    regions = stored(with_pivots(region_rows(texts, frequent_shingles(described))), "jaccard-regions")
+    stars = regions.filter(F.col("d") != F.col("pivot")).select(
+        F.least("d", "pivot").alias("a"), F.greatest("d", "pivot").alias("b")
+    )
+    tried = stored(_near(stars.distinct(), classes), "jaccard-tried")
+    links = stored(verify(texts, classes, tried), "jaccard-links")
+    # First the nearest sets, which joins most of what belongs together, then all that is left.
+    for nearest in (NEAREST, None):
+        known = stored(components(links), "jaccard-known")
+        pairs = rest_pairs(_open_rows(regions, classes, known), nearest).distinct()
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+        found = stored(verify(texts, classes, pairs), "jaccard-links")
+        tried, links = tried.unionByName(pairs), links.unionByName(found)
+    return components(links)
 
 
 def jaccard_join(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -350,12 +432,13 @@ def jaccard_join(frame: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows of their own with the same set or not.
     """
     described = stored(_describe(frame, key, text), "jaccard-described")
-    texts = frame.select(F.col(f"`{text}`").alias("text"))
+    texts = frame.select(F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("text"))
+    one = F.struct(F.xxhash64(key).alias("h"), "n", "sketch")
     sets = described.filter(F.col("d").isNotNull()).groupBy("d").agg(
-        F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.min(key).alias("least")
+        F.min_by(one, F.xxhash64(key)).alias("one"), F.min(key).alias("least")
     )
-    sets = stored(sets, "jaccard-classes")
-    nodes = stored(link_classes(texts, sets), "jaccard-components")
+    sets = stored(sets.select("d", "one.*", "least"), "jaccard-classes")
+    nodes = stored(link_classes(texts, described, sets), "jaccard-components")
     named = sets.join(nodes, sets["d"] == nodes["node"], "left").select(
         "d", F.coalesce("component", "d").alias("component"), "least"
     )
