@@ -65,8 +65,7 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def shingles(found: Column) -> Column:
@@ -78,7 +77,7 @@ def shingles(found: Column) -> Column:
 
 
 def minima(hashes: Column) -> Column:
-    """The minimum of each band."""
+    """The minimum of each band. Bands hash with their number, so no two have a value in common."""
 
     def lowest(band: int) -> Column:
         return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band))))
@@ -86,13 +85,8 @@ def minima(hashes: Column) -> Column:
     return F.array(*(lowest(band) for band in range(BANDS)))
 
 
-def keys(bands: Column) -> Column:
-    """Bands as numbers that differ between bands."""
-    return F.transform(bands, lambda low, b: F.xxhash64(low, b))
-
-
 def slot(key: Column) -> Column:
-    return F.pmod(key, F.lit(SLOTS)).cast("int")
+    return key.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
 
 
 def template_windows(known: DataFrame) -> DataFrame:
@@ -101,7 +95,7 @@ def template_windows(known: DataFrame) -> DataFrame:
     split = known.select(
         "license", F.explode(F.transform(places, lambda k: F.slice("hashes", k + 1, F.lit(SHINGLES)))).alias("part")
     )
-    return split.select("license", F.explode(keys(minima(F.col("part")))).alias("key")).distinct()
+    return split.select("license", F.explode(minima(F.col("part"))).alias("key")).distinct()
 
 
 def slot_table(windows: DataFrame) -> bytes:
@@ -137,20 +131,24 @@ def scan_licenses(frame: DataFrame, known: DataFrame, key: str = "doc_id", text:
         lambda k: minima(F.slice("hashes", k * STRIDE + 1, F.lit(STRIDE))),
     )
     hashed = hashed.filter(F.size("hashes") > 0).select(key, "hashes", once(blocks, "blocks"))
-    parts = SHINGLES // STRIDE
+    any_marked = F.transform("blocks", lambda low: F.exists(low, lambda h: _marked(marks, h)))
+    hashed = hashed.select("*", once(any_marked, "marked"))
+    near_blocks = range(SHINGLES // STRIDE)
 
     def window(low: Column, k: Column) -> Column:
-        """The keys of the window that begins at block ``k``, of those that may match."""
+        """The keys of the window that begins at block ``k``, if it may match.
+
+        A minimum of the window is one of its blocks', so a window without a marked block has none.
+        """
 
         def band(b: Column) -> Column:
-            after = [F.get(F.get("blocks", k + i), b) for i in range(1, parts)]
-            return reduce(lambda x, y: F.least(x, F.coalesce(y, x)), after, F.get(low, b))
+            lows = [F.get(F.get("blocks", k + i), b) for i in near_blocks]
+            return reduce(lambda x, y: F.least(x, F.coalesce(y, x)), lows)
 
-        found = F.transform(
-            F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(band(b), b)
-        )
+        found = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)
         held = F.filter(found, lambda h: _marked(marks, h))
-        return F.struct(k.alias("block"), held.alias("keys"))
+        hope = reduce(Column.__or__, (F.coalesce(F.get("marked", k + i), F.lit(False)) for i in near_blocks))
+        return F.when(hope, F.struct(k.alias("block"), held.alias("keys")))
 
     candidates = hashed.select(
         key,
