@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 ASSISTANT = "assistant"
 # Tokens for each unit: an image tile, a second of audio, a page of a document.
 TOKENS = {"image": 576, "audio": 25, "document": 800}
+ATTACHED = "array<struct<number: int, kind: string, ref: string, tokens: bigint>>"
 PART = "array<struct<kind: string, text: string, ref: string, units: bigint>>"
 
 
@@ -58,12 +59,13 @@ def is_text(part: Column) -> Column:
 
 def attachments(parts: Column) -> Column:
     """What the placeholders of a turn stand for, in order."""
-    return F.transform(
+    found = F.transform(
         F.filter(parts, lambda p: p.isNotNull() & ~is_text(p)),
         lambda p, k: F.struct(
             k.alias("number"), p["kind"].alias("kind"), p["ref"].alias("ref"), expanded(p).alias("tokens")
         ),
     )
+    return F.coalesce(found, F.array().cast(ATTACHED))
 
 
 def flatten(parts: Column) -> Column:
