@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 import struct
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -28,14 +29,15 @@ from pyspark.sql import functions as F
 from millrace.llm.common import arrow_map, extended
 
 NONE = 1 << 62
+Coded = tuple[bytes, str]
 CACHE_ENTRIES = 250_000
 LONGEST_CACHED = 64
 # White_Space of the Unicode character database.
 PIECE = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-# Visible ASCII and the letters of Latin-1: no normal form changes them, one letter stays one.
-LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+# White space, visible ASCII and the letters of Latin-1: no normal form changes such a text.
+LATIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 # Fixed value: the word pattern of the tokenizer file, over those characters in lower case.
-LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 # Bytes that are not visible Latin-1 stand at U+0100 and on, in order.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -44,23 +46,29 @@ BYTE_ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not
 class Recent[T]:
     """A cache of bounded size: a full generation replaces the one before it."""
 
-    def __init__(self) -> None:
+    def __init__(self, make: Callable[[str], T]) -> None:
+        self.make = make
         self.new: dict[str, T] = {}
         self.old: dict[str, T] = {}
 
-    def get(self, key: str) -> T | None:
-        found = self.new.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value: T) -> T:
+    def find(self, key: str) -> T:
+        """The value of a key that is not in ``new``."""
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= LONGEST_CACHED:
             if len(self.new) >= CACHE_ENTRIES:
                 self.old, self.new = self.new, {}
             self.new[key] = value
         return value
 
+    def all(self, keys: list[str]) -> list[T]:
+        get, find = self.new.get, self.find
+        found = [get(k) for k in keys]
+        if None in found:
+            found = [find(k) if v is None else v for k, v in zip(keys, found, strict=True)]
+        return found
+
 
 class PairTree:
     """Lowest (rank, place) over a row of leaves, with point updates."""
@@ -69,11 +77,12 @@ class PairTree:
         self.size = 1
         while self.size < len(keys):
             self.size *= 2
-        tree = [NONE] * self.size + keys + [NONE] * (self.size - len(keys))
-        for k in range(self.size - 1, 0, -1):
-            left, right = tree[2 * k], tree[2 * k + 1]
-            tree[k] = left if left <= right else right
-        self.tree = tree
+        row = keys + [NONE] * (self.size - len(keys))
+        tree = row
+        while len(row) > 1:
+            row = list(map(min, row[::2], row[1::2]))
+            tree = row + tree
+        self.tree = [NONE, *tree]
 
     def put(self, place: int, key: int) -> None:
         tree = self.tree
@@ -112,8 +121,8 @@ class Bpe:
         library = Tokenizer.from_str(content)
         self.normal = library.normalizer.normalize_str
         self.cut = library.pre_tokenizer.pre_tokenize_str
-        self.pieces: Recent[tuple[bytes, str]] = Recent()
-        self.words: Recent[tuple[int, ...]] = Recent()
+        self.pieces: Recent[Coded] = Recent(self.piece)
+        self.words: Recent[Coded] = Recent(self.word)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word, given in the byte alphabet of the vocabulary."""
@@ -125,58 +134,57 @@ class Bpe:
             return ids
         width = n.bit_length()
         mask = (1 << width) - 1
-        rank, joined = self.rank, self.joined
+        rank, joined = self.rank.get, self.joined
         # Key of a leaf: rank, then place, so that equal ranks go from left to right.
         tree = PairTree(
             [
-                NONE if (r := rank.get(pair)) is None else r << width | k
+                NONE if (r := rank(pair)) is None else r << width | k
                 for k, pair in enumerate(zip(ids, ids[1:]))
             ]
         )
+        put, root = tree.put, tree.tree
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (low := tree.tree[1]) != NONE:
+        while (low := root[1]) != NONE:
             left = low & mask
             right = after[left]
             made = ids[left] = joined[low >> width]
             ids[right] = -1
             follows = after[left] = after[right]
-            if right < n - 1:
-                tree.put(right, NONE)
             key = NONE
             if follows < n:
                 before[follows] = left
-                if (r := rank.get((made, ids[follows]))) is not None:
+                put(right, NONE)
+                if (r := rank((made, ids[follows]))) is not None:
                     key = r << width | left
-            tree.put(left, key)
+            put(left, key)
             if (first := before[left]) >= 0:
-                r = rank.get((ids[first], made))
-                tree.put(first, NONE if r is None else r << width | first)
+                r = rank((ids[first], made))
+                put(first, NONE if r is None else r << width | first)
         return [i for i in ids if i >= 0]
 
-    def piece(self, piece: str) -> tuple[bytes, str]:
-        """Ids (little-endian) and decoded tokens of text without white space."""
-        if LATIN.fullmatch(piece):
-            words = [
-                w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_ALPHABET)
-                for w in LATIN_WORDS.findall(piece.lower())
-            ]
-        else:
-            words = [w for w, _ in self.cut(self.normal(piece))]
-        ids: list[int] = []
-        for word in words:
-            got = self.words.get(word)
-            if got is None:
-                got = self.words.put(word, tuple(self.merge(word)))
-            ids += got
+    def coded(self, words: list[str]) -> Coded:
+        """Ids (little-endian) and tokens of words in the byte alphabet."""
+        ids = [i for word in words for i in self.merge(word)]
         tokens = self.tokens
-        made = struct.pack(f"<{len(ids)}I", *ids), " ".join([tokens[i] for i in ids])
-        return self.pieces.put(piece, made)
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join([tokens[i] for i in ids])
+
+    def word(self, word: str) -> Coded:
+        """Of one word of a Latin text."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_ALPHABET)
+        return self.coded([word])
+
+    def piece(self, piece: str) -> Coded:
+        """Of any text without white space."""
+        return self.coded([w for w, _ in self.cut(self.normal(piece))])
 
     def _plain(self, text: str, ids: list[bytes], words: list[str]) -> None:
-        get, piece = self.pieces.get, self.piece
-        got = [get(p) or piece(p) for p in PIECE.findall(text)]
+        if LATIN.fullmatch(text):
+            got = self.words.all(LATIN_WORDS.findall(text.lower()))
+        else:
+            got = [g for g in self.pieces.all(PIECE.findall(text)) if g[0]]
         ids += [g[0] for g in got]
-        words += [g[1] for g in got if g[1]]
+        words += [g[1] for g in got]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the text they decode to."""
@@ -208,8 +216,8 @@ def load(content: str) -> Bpe:
     return _loaded[name]
 
 
-def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], function):
-    """``frame`` with the columns that ``function`` makes of ``text``, through Arrow batches."""
+def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], start):
+    """``frame`` with the columns made of ``text``. ``start`` gives the function, once a task."""
     from pyspark.sql.pandas.types import from_arrow_type
 
     kept = [c for c in frame.columns if c not in made or c == text]
@@ -222,6 +230,7 @@ def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], fun
     )
 
     def run(batches):
+        function = start()
         for batch in batches:
             rows = [function(value) for value in batch.column(at).to_pylist()]
             columns = [
@@ -240,15 +249,21 @@ def encode(frame: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """Adds ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (text of those ids)."""
     content = Path(tokenizer).read_text(encoding="utf-8")
     shared = frame.sparkSession.sparkContext.broadcast(content)
-    made = {"ids": pa.binary(), "decoded": pa.string()}
-    return _with_columns(frame, text, made, lambda value: load(shared.value).encode(value or ""))
+
+    def start():
+        coder = load(shared.value)
+        return lambda value: coder.encode(value or "")
+
+    return _with_columns(frame, text, {"ids": pa.binary(), "decoded": pa.string()}, start)
 
 
 def decode(frame: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``: the text of ``ids``; null ids count as none."""
     content = Path(tokenizer).read_text(encoding="utf-8")
     shared = frame.sparkSession.sparkContext.broadcast(content)
-    made = {"decoded": pa.string()}
-    return _with_columns(
-        frame, ids, made, lambda value: (load(shared.value).decode(value or b""),)
-    )
+
+    def start():
+        coder = load(shared.value)
+        return lambda value: (coder.decode(value or b""),)
+
+    return _with_columns(frame, ids, {"decoded": pa.string()}, start)
