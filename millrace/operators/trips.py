@@ -48,11 +48,17 @@ def _typed_columns() -> dict[str, Column]:
     return typed
 
 
+def _unreadable(place: str) -> Column:
+    return F.col(place).isNotNull() & whole_number(F.col(place)).isNull()
+
+
 def _reject_reason() -> Column:
     """Why a trip is left out, by its text columns; null on trips worth keeping.
 
-    An unreadable optional measure becomes null; only times and the fare decide. A fare must
-    be a number above zero, so NaN is refused although Spark orders it above every number.
+    Times, the fare and the places decide; an unreadable optional measure becomes null. A fare
+    must be a number above zero, so NaN is refused although Spark orders it above every number.
+    A place that is given but cannot be read would drop out of the statistics unseen, so it is
+    refused; a place that is missing stays a trip without a zone.
     """
     pickup, dropoff, fare = (F.col(name) for name in _DECIDING)
     amount = fare.try_cast("double")
@@ -65,6 +71,8 @@ def _reject_reason() -> Column:
         .when(fare.isNull(), "fare_missing")
         .when(amount.isNull() | F.isnan(amount), "fare_unreadable")
         .when(amount <= 0, "fare_not_positive")
+        .when(_unreadable("PULocationID"), "pickup_place_unreadable")
+        .when(_unreadable("DOLocationID"), "dropoff_place_unreadable")
     )
 
 

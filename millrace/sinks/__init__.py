@@ -1,5 +1,6 @@
 from millrace.sinks.tables import (
     append_table,
+    counted,
     ensure_database,
     files,
     overwrite_partitions,
@@ -19,6 +20,7 @@ from millrace.sinks.versions import (
 
 __all__ = [
     "append_table",
+    "counted",
     "commit_version",
     "current_data_table",
     "current_version",

@@ -1,4 +1,4 @@
-from millrace.streaming.ingest import run_append
+from millrace.streaming.ingest import run_append, run_append_once
 from millrace.streaming.mirror import fold_batch, publish_mirror, run_mirror
 
-__all__ = ["fold_batch", "publish_mirror", "run_append", "run_mirror"]
+__all__ = ["fold_batch", "publish_mirror", "run_append", "run_append_once", "run_mirror"]

@@ -76,10 +76,8 @@ def customers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     image = F.struct(
         F.col("o_custkey").alias("id"),
-        F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias(
-            "name"
-        ),
-        F.concat(F.lower(F.substring("o_orderpriority", 3, 100)), domain).alias("email"),
+        F.format_string("Customer#%09d", "o_custkey").alias("name"),
+        F.concat(F.lower(F.substr("o_orderpriority", F.lit(3))), domain).alias("email"),
         F.concat(F.lit("NATION_"), F.col("o_orderkey") % 25).alias("country"),
     )
     deleted = F.col("o_orderstatus") == "P"

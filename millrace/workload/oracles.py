@@ -20,7 +20,7 @@ changes AS (
   SELECT '{CUSTOMERS_TOPIC}', 1, o_orderkey, o_orderdate,
          CASE WHEN o_orderstatus = 'P' THEN 'd' ELSE 'u' END, epoch_us(o_orderdate) // 1000,
          o_orderkey + 1, o_custkey,
-         'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'),
+         printf('Customer#%09d', o_custkey),
          lower(substr(o_orderpriority, 3)) || '@example.com', 'NATION_' || (o_orderkey % 25)
   FROM orders
 ),

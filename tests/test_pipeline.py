@@ -161,15 +161,15 @@ def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path)
         partition_grain="month",
     )
     folders = Folders(str(tmp_path / "run"))
-    all_changes = spark.read.parquet(str(inputs / "changes")).dropDuplicates(
-        ["topic", "partition", "offset"]
-    )
+    sent = spark.read.parquet(str(inputs / "changes"))
+    all_changes = sent.dropDuplicates(["topic", "partition", "offset"])
     all_trips = spark.read.parquet(str(inputs / "trips"))
     late = F.col("timestamp") >= F.lit("1998-01-01").cast("timestamp")
-    for part in (late, ~late):
-        all_changes.filter(part).coalesce(1).write.mode("append").parquet(changes)
+    for part in (late, F.lit(True)):  # the second delivery holds all of the first again
+        sent.filter(part).coalesce(1).write.mode("append").parquet(changes)
         all_trips.filter(part).coalesce(1).write.mode("append").parquet(trips)
         run_incremental(spark, cfg, folders)
+        assert spark.table(cfg.table("gold_taxi_aggregates")).count() > 0
     run_incremental(spark, cfg, folders)
 
     customers, drivers, gold = expected(spark, inputs)
@@ -181,15 +181,10 @@ def test_incremental_runs_equal_one_whole_run(spark, inputs, database, tmp_path)
     assert spark.table(cfg.table("bronze_taxi_trips")).count() == all_trips.count()
     trips = enrich_zones(clean_trips(parse_trips(all_trips)), feeds.zones(spark, SF))
     assert same(spark.table(cfg.table("silver_taxi_trips")), trips)
-    by_sql = spark.sql(
-        f"""SELECT pickup_zone, date_trunc('hour', pickup_datetime) AS pickup_hour,
-                   count(*) AS total_trips
-            FROM {database}.silver_taxi_trips WHERE pickup_zone IS NOT NULL
-            GROUP BY pickup_zone, date_trunc('hour', pickup_datetime)
-            ORDER BY pickup_hour DESC, total_trips DESC"""
-    )
-    assert same(by_sql, gold.select("pickup_zone", "pickup_hour", "total_trips"))
-    assert same(spark.table(f"{database}.gold_taxi_aggregates"), gold)
+    stored = spark.table(f"{database}.gold_taxi_aggregates")
+    zoned = spark.table(cfg.table("silver_taxi_trips")).filter(F.col("pickup_zone").isNotNull())
+    assert stored.agg(F.sum("total_trips")).first()[0] == zoned.count()
+    assert same(stored, gold)
 
 
 def test_undecodable_messages_are_kept_as_bytes(spark, inputs, database, tmp_path):
