@@ -6,7 +6,7 @@ checked as one.
 
 from __future__ import annotations
 
-from millrace.schemas import CUSTOMERS_TOPIC, DRIVERS_TOPIC
+from millrace.schemas import CUSTOMERS_TOPIC, DRIVERS_TOPIC, TRIPS_TOPIC
 from millrace.workload.queries import AS_OF_MS, INTERVAL, NOW, SPOT_CHECK_NAME
 
 _CHANGES = f"""
@@ -256,6 +256,24 @@ UNION ALL SELECT 'silver_drivers', count(*) FROM drivers
 UNION ALL SELECT 'silver_taxi_trips', count(*) FROM clean
 UNION ALL SELECT 'gold_taxi_aggregates', count(*) FROM hourly""",
     "checkpointed_run": _HOURLY,
+    "incremental_replayed": _HOURLY,
+    "backfill_run": f"""
+WITH {_RAW_TRIPS} {_stats('hour', f"NOT (pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' "
+                                  f"AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}')")}""",
+    "silent_topics": f"""
+WITH seen AS (
+  SELECT '{CUSTOMERS_TOPIC}' AS topic, max(o_orderdate) AS newest FROM orders
+  UNION ALL SELECT '{DRIVERS_TOPIC}', max(ts) FROM events
+  UNION ALL SELECT '{TRIPS_TOPIC}', max(l_shipdate) FROM lineitem
+  UNION ALL SELECT 'silent', NULL
+),
+aged AS (
+  SELECT topic, CAST(newest AS TIMESTAMP) AS newest,
+         CAST(floor(epoch_us(TIMESTAMP '{NOW}' - newest) / 1000000) AS BIGINT) AS lag_seconds
+  FROM seen
+)
+SELECT topic, newest, lag_seconds, false AS is_fresh FROM aged
+WHERE lag_seconds IS NULL OR lag_seconds > 600""",
     "version_history": f"""
 WITH {_CHANGES}
 SELECT CAST(1 AS BIGINT) AS version, 'overwrite' AS operation, count(*) AS row_count

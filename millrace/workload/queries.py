@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.config import PipelineConfig
+from millrace.config import PARTITION, PipelineConfig
 from millrace.operators import (
     beyond_high_water,
     change_rejects,
@@ -37,7 +37,8 @@ from millrace.operators import (
     with_change_key,
     zone_stats,
 )
-from millrace.plans import Folders, run_incremental, run_pipeline
+from millrace.plans import Folders, backfill, run_incremental, run_pipeline
+from millrace.plans.batch import stale_topics
 from millrace.schemas import (
     BRONZE_CHANGES,
     BRONZE_TRIPS,
@@ -461,7 +462,42 @@ def checkpointed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
 
 
+def incremental_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries to a checkpointed run; the second, in other files, holds the first again."""
+    cfg, root = _deployment(spark, sf_dir)
+    trips = spark.read.parquet(f"{root}/trips")
+    cfg = replace(cfg, trips=LogSource((TRIPS_TOPIC,), path=f"{root}/sent"))
+    for part in (F.col("timestamp") < F.lit(INTERVAL[0]).cast("timestamp"), F.lit(True)):
+        trips.filter(part).write.mode("append").parquet(f"{root}/sent")
+        run_incremental(spark, cfg, Folders(f"{root}/run"))
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
+def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics after the trips of one month have all become invalid and it was backfilled."""
+    cfg, root = _deployment(spark, sf_dir)
+    run_pipeline(spark, cfg)
+    table = cfg.data(BRONZE_TRIPS)
+    month = F.col(PARTITION) == F.lit(INTERVAL[0].date())
+    spoiled = spark.table(table).filter(month).withColumn("fare_amount", F.lit("0"))
+    spoiled.write.parquet(f"{root}/spoiled")
+    overwrite_partitions(spark.read.parquet(f"{root}/spoiled"), table, PARTITION)
+    backfill(spark, cfg, INTERVAL[0].date(), INTERVAL[1].date())
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
+def silent_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics that are too old, one of which never had a message."""
+    cfg, _ = _deployment(spark, sf_dir)
+    cfg = replace(cfg, trips=replace(cfg.trips, topics=(TRIPS_TOPIC, "silent")))
+    run_pipeline(spark, cfg, stages=("ingest-changes", "ingest-trips"))
+    return _local(stale_topics(spark, cfg, dt.datetime.fromisoformat(NOW)), "newest")
+
+
 QUERIES: dict[str, Query] = {
+    "incremental_replayed": incremental_replayed,
+    "backfill_run": backfill_run,
+    "silent_topics": silent_topics,
     "whole_run": whole_run,
     "checkpointed_run": checkpointed_run,
     "cdc_parse": cdc_parse,
