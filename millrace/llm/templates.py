@@ -19,11 +19,11 @@ Repeated rows give their results once.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,45 +54,46 @@ PLACEHOLDER = {NUM: "<num>", UNIT: "<unit>", CAPITAL: "<name>"}
 
 
 def _hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+    return xxhash.xxh3_64_intdigest(word.encode())
 
 
 MARK = {kind: np.uint64(_hash(name)) for kind, name in PLACEHOLDER.items()}
 
 
 class Words:
-    """What is known of a spelling: hash, kind and whether it ends a sentence; bounded."""
+    """What is known of a spelling, in one number: hash, kind, whether it ends a sentence.
+
+    Spellings are kept up to a bound.
+    """
 
     def __init__(self) -> None:
-        self.place: dict[str, int] = {}
-        self.rows: list[tuple[int, int, bool]] = []
+        self.codes: dict[str, int] = {}
 
     def look(self, word: str) -> int:
-        inner = word.strip(OUTER)
+        inner = word.rstrip(OUTER)
+        if not inner.isalpha():
+            inner = word.strip(OUTER)
         low = inner.lower()
         kind = LITERAL
-        if NUMBER.fullmatch(inner):
-            kind = NUM
-        elif low in UNITS or word == "%":
+        if low in UNITS or word == "%":
             kind = UNIT
-        elif inner[:1].isupper() and not (len(inner) > 1 and inner.isupper()):
-            kind = CAPITAL
-        ends = bool(SENTENCE_END.search(word))
-        self.rows.append((_hash(low or word), kind, ends))
-        k = self.place[word] = len(self.rows) - 1
-        return k
+        elif inner[:1].isupper():
+            kind = CAPITAL if len(inner) == 1 or not inner.isupper() else LITERAL
+        elif not inner.isalpha() and NUMBER.fullmatch(inner):
+            kind = NUM
+        ends = len(inner) < len(word) and SENTENCE_END.search(word) is not None
+        code = _hash(low or word) >> 4 << 3 | kind << 1 | ends
+        if len(self.codes) >= CACHE:
+            self.codes.clear()
+        self.codes[word] = code
+        return code
 
     def arrays(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if len(self.place) > CACHE:
-            self.__init__()
-        get, look = self.place.get, self.look
-        places = [k if (k := get(w)) is not None else look(w) for w in words]
-        rows = self.rows
-        return (
-            np.array([rows[k][0] for k in places], np.uint64),
-            np.array([rows[k][1] for k in places], np.int8),
-            np.array([rows[k][2] for k in places], bool),
-        )
+        codes = list(map(self.codes.get, words))
+        if None in codes:
+            codes = [self.look(w) if c is None else c for w, c in zip(words, codes, strict=True)]
+        found = np.array(codes, np.int64)
+        return found.view(np.uint64) >> np.uint64(3), found >> 1 & 3, (found & 1).astype(bool)
 
 
 def split(text: str) -> list[str]:
