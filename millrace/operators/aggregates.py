@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import round_half_up
 
 
+EXACT = "decimal(18,6)"
+
+
+def _cents(name: str, mean: bool) -> Column:
+    """Sum or mean to the cent, added as decimals: the order of rows never matters.
+
+    A group with a number that is no such decimal (NaN, or over twelve digits) is added as
+    doubles, and then rounded.
+    """
+    value = F.col(name)
+    exact = value.try_cast(EXACT)
+    total = F.sum(exact)
+    plain = round_half_up(F.avg(value) if mean else F.sum(value))
+    cents = F.round(total / F.nullif(F.count(exact), F.lit(0)) if mean else total, 2).cast("double")
+    return F.when(F.count(exact) == F.count(value), cents).otherwise(plain)
+
+
 def zone_stats(trips: DataFrame, grain: str = "hour") -> DataFrame:
     """Trips, mean fare, mean distance and revenue per pickup zone and ``grain``.
 
@@ -19,9 +36,9 @@ def zone_stats(trips: DataFrame, grain: str = "hour") -> DataFrame:
         .groupBy("pickup_zone", F.date_trunc(grain, "pickup_datetime").alias(f"pickup_{grain}"))
         .agg(
             F.count("*").alias("total_trips"),
-            round_half_up(F.avg("fare_amount")).alias("avg_fare"),
-            round_half_up(F.avg("trip_distance")).alias("avg_distance"),
-            round_half_up(F.sum("total_amount")).alias("total_revenue"),
+            _cents("fare_amount", mean=True).alias("avg_fare"),
+            _cents("trip_distance", mean=True).alias("avg_distance"),
+            _cents("total_amount", mean=False).alias("total_revenue"),
         )
     )
 

@@ -94,16 +94,18 @@ _CLEAN_COLUMNS = (
 )
 
 
-def _rounded(aggregate: str) -> str:
-    return f"CAST(round(CAST({aggregate} AS DECIMAL(38, 9)), 2) AS DOUBLE)"
+def _cents(column: str, over: str) -> str:
+    """The sum of a positive column in millionths, over a count, to the cent."""
+    total = f"sum(CAST(round({column} * 1000000) AS BIGINT))"
+    return f"CAST((2 * {total} + 10000 * {over}) // (20000 * {over}) AS DOUBLE) / 100"
 
 
 def _stats(grain: str, where: str = "TRUE") -> str:
     return f"""
   SELECT pickup_zone, CAST(date_trunc('{grain}', pickup_datetime) AS TIMESTAMP) AS pickup_{grain},
-         count(*) AS total_trips, {_rounded("avg(fare_amount)")} AS avg_fare,
-         {_rounded("avg(trip_distance)")} AS avg_distance,
-         {_rounded("sum(total_amount)")} AS total_revenue
+         count(*) AS total_trips, {_cents("fare_amount", "count(*)")} AS avg_fare,
+         {_cents("trip_distance", "count(*)")} AS avg_distance,
+         {_cents("total_amount", "1")} AS total_revenue
   FROM picked WHERE pickup_zone IS NOT NULL AND {where}
   GROUP BY pickup_zone, date_trunc('{grain}', pickup_datetime)
 """
