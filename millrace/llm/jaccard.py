@@ -38,14 +38,18 @@ SIZE = 5
 # Linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 FREQUENT = 64
-LEAST_CELLS = 64
-MOST_CELLS = 4096
+# Shingles for each cell of the two sketches of a set: one to look at many pairs, one at few.
+COARSE = 8
+FINE = 1
+LEAST_CELLS = 32
+MOST_CELLS = 1 << 14
 NEAREST = 3
 MOST_SEEN = 500_000
 FREQUENT_BITS = 24
 WANTED_BITS = 24
 BLOCK_ROWS = 4096
 OUT_ROWS = 1 << 17
+CHUNK_ROWS = 30_000
 
 
 def prefix_length(n: int) -> int:
@@ -57,14 +61,14 @@ def digest(found: np.ndarray) -> int:
     return int(np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64).astype(np.int64))
 
 
-def cells_for(n: int) -> int:
-    """About four shingles a cell, a power of two, so that sketches of two sizes can be compared."""
-    return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, (n - 1) // 4).bit_length()))
+def cells_for(n: int, each: int) -> int:
+    """About ``each`` shingles a cell, a power of two, so that sketches of two sizes compare."""
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, (n - 1) // each).bit_length()))
 
 
-def sketch(found: np.ndarray) -> bytes:
+def sketch(found: np.ndarray, each: int) -> bytes:
     """How many shingles fall in each cell; empty when a count does not fit a byte."""
-    cells = cells_for(len(found))
+    cells = cells_for(len(found), each)
     counts = np.bincount((found >> np.uint64(20)).astype(np.int64) & (cells - 1), minlength=cells)
     return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
@@ -101,7 +105,7 @@ def may_link(a: bytes, b: bytes, na: int, nb: int) -> bool:
 
 
 def _describe(frame: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, d, sketch, first) of every document; ``first`` has the shingles counted later."""
+    """(key, n, d, sketch, fine, first) of every document; ``first`` has the shingles counted later."""
 
     def run(batches):
         for batch in batches:
@@ -111,14 +115,15 @@ def _describe(frame: DataFrame, key: str, text: str) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([sketch(s, COARSE) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([sketch(s, FINE) if len(s) else None for s in sets], pa.binary()),
                     pa.array([s[: counted_length(len(s))].tobytes() for s in sets], pa.binary()),
                 ],
-                names=[key, "n", "d", "sketch", "first"],
+                names=[key, "n", "d", "sketch", "fine", "first"],
             )
 
     source = frame.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
-    kinds = {"n": LongType(), "d": LongType(), "sketch": BinaryType(), "first": BinaryType()}
+    kinds = {"n": LongType(), "d": LongType(), "sketch": BinaryType(), "fine": BinaryType(), "first": BinaryType()}
     return arrow_map(source, run, extended(StructType([source.schema[0]]), **kinds))
 
 
@@ -174,7 +179,10 @@ def frequent_shingles(described: DataFrame) -> Bitmap:
 
 
 def region_rows(texts: DataFrame, frequent: Bitmap) -> DataFrame:
-    """(token, d, n): every set in each region that it borders on."""
+    """(token, d, n, rank): every set in each region that it borders on.
+
+    ``rank`` counts the shingles of the set that come before ``token`` in the order of all.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -189,11 +197,12 @@ def region_rows(texts: DataFrame, frequent: Bitmap) -> DataFrame:
                     often = bits.holds(found)
                     order = np.concatenate((found[~often], found[often])) if often.any() else found
                     tokens = signed(order[: prefix_length(n)])
-                    yield tokens, np.full(len(tokens), d, np.int64), np.full(len(tokens), n, np.int64)
+                    rank = np.arange(len(tokens), dtype=np.int32)
+                    yield tokens, np.full(len(tokens), d, np.int64), np.full(len(tokens), n, np.int32), rank
 
-        yield from _gathered(parts(), ["token", "d", "n"])
+        yield from _gathered(parts(), ["token", "d", "n", "rank"])
 
-    return arrow_map(texts.select("text"), run, "token long, d long, n long")
+    return arrow_map(texts.select("text"), run, "token long, d long, n int, rank int")
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -201,20 +210,20 @@ def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def with_pivots(rows: DataFrame) -> DataFrame:
-    """(token, d, n, pivot) of regions with two sets or more; rows sorted by token, then digest."""
+    """(token, d, n, rank, pivot) of regions with two sets or more; rows sorted by token, then digest."""
 
     def run(batches):
         token = pivot = last = None
         waiting = None
         for batch in batches:
-            t, d, n = _columns(batch)
+            t, d, n, r = _columns(batch)
             if not len(t):
                 continue
             # Rows of copies are next to each other.
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
             fresh[0] = token is None or t[0] != token or d[0] != last
-            t, d, n = t[fresh], d[fresh], n[fresh]
+            t, d, n, r = t[fresh], d[fresh], n[fresh], r[fresh]
             if not len(t):
                 continue
             starts = np.ones(len(t), bool)
@@ -231,92 +240,111 @@ def with_pivots(rows: DataFrame) -> DataFrame:
                 out.append(waiting)
                 waiting = None
             keep |= head
-            out.append((t[keep], d[keep], n[keep], pivots[keep]))
+            out.append((t[keep], d[keep], n[keep], r[keep], pivots[keep]))
             if starts[-1]:
-                waiting = (t[-1:], d[-1:], n[-1:], d[-1:])
+                waiting = (t[-1:], d[-1:], n[-1:], r[-1:], d[-1:])
             elif first[-1] >= 0:
                 waiting = None
             token, pivot, last = t[-1], pivots[-1], d[-1]
             whole = [np.concatenate(c) for c in zip(*out)]
             if len(whole[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in whole], names=["token", "d", "n", "pivot"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in whole], names=["token", "d", "n", "rank", "pivot"])
 
     sorted_rows = rows.repartition(F.col("token")).sortWithinPartitions("token", "d")
-    return arrow_map(sorted_rows, run, "token long, d long, n long, pivot long")
-
-
-def _pairs_in_region(n: np.ndarray, d: np.ndarray, comp: np.ndarray, sketches: list[bytes], nearest: int | None):
-    """Pairs of one region, sorted by size, that no bound rules out."""
-    cells = np.array([len(v) for v in sketches])
-    kinds = {}
-    for c in np.unique(cells):
-        at = np.flatnonzero(cells == c)
-        held = b"".join(sketches[k] for k in at)
-        kinds[int(c)] = (at, np.frombuffer(held, np.uint8).reshape(len(at), int(c)))
-    for k in range(1, len(n)):
-        low = np.searchsorted(n[:k], -(-PERCENT * n[k] // 100))
-        if low == k or (comp[low:k] == comp[k]).all():
-            continue
-        own = np.frombuffer(sketches[k], np.uint8)
-        found, gaps = [], []
-        for c, (at, counts) in kinds.items():
-            first, last = np.searchsorted(at, (low, k))
-            rows = np.flatnonzero(comp[at[first:last]] != comp[k]) + first
-            if not len(rows):
-                continue
-            gap = np.zeros(len(rows), np.int64)
-            if c and len(own):
-                less = min(c, len(own))
-                gap = apart(folded(counts[rows], less), folded(own, less))
-                near = ~too_far(gap, n[at[rows]] + n[k])
-                rows, gap = rows[near], gap[near]
-            found.append(at[rows])
-            gaps.append(gap)
-        if found and len(at := np.concatenate(found)):
-            if nearest is not None and len(at) > nearest:
-                at = at[np.argsort(np.concatenate(gaps), kind="stable")[:nearest]]
-            yield d[at], np.full(len(at), d[k], np.int64)
+    return arrow_map(sorted_rows, run, "token long, d long, n int, rank int, pivot long")
+
+
+def _gaps(i: np.ndarray, j: np.ndarray, cells: np.ndarray, place: np.ndarray, counts: dict) -> np.ndarray:
+    """L1 distances of the sketches of pairs of rows; 0 where one has none."""
+    gaps = np.zeros(len(i), np.int64)
+    kinds = cells[i] * (2 * MOST_CELLS) + cells[j]
+    for kind in np.unique(kinds):
+        c, e = divmod(int(kind), 2 * MOST_CELLS)
+        if c and e:
+            at = np.flatnonzero(kinds == kind)
+            x, y = counts[c][place[i[at]]], counts[e][place[j[at]]]
+            gaps[at] = apart(folded(x, min(c, e)), folded(y, min(c, e)))
+    return gaps
+
+
+def _close_rows(g, n, rank, comp, cells, place, counts):
+    """(i, j, gap) of rows of one group that no bound rules out. Rows are sorted by group, size.
+
+    Partners are ``step`` rows apart; a row is done when its partner is too large for it. A pair
+    is left to the region of its first common shingle: there the shingles that still follow in
+    both have to be enough for a link.
+    """
+    i, step = np.arange(len(g) - 1), 1
+    held, rows = [], 0
+    while len(i):
+        i = i[i + step < len(g)]
+        j = i + step
+        i = i[(g[i] == g[j]) & (100 * n[i] >= PERCENT * n[j])]
+        j = i + step
+        enough = (100 + PERCENT) * np.minimum(n[i] - rank[i], n[j] - rank[j]) >= PERCENT * (n[i] + n[j])
+        fits = (comp[i] != comp[j]) & enough
+        held.append((i[fits], j[fits]))
+        rows += len(held[-1][0])
+        step += 1
+        if rows and (rows >= OUT_ROWS or not len(i)):
+            a, b = (np.concatenate(c) for c in zip(*held))
+            gap = _gaps(a, b, cells, place, counts)
+            near = ~too_far(gap, n[a] + n[b])
+            yield a[near], b[near], gap[near]
+            held, rows = [], 0
 
 
 def rest_pairs(rows: DataFrame, nearest: int | None) -> DataFrame:
-    """(a, b) of different components that share a region. ``rows`` has grp, n, d, ...
+    """(a, b) of different components that share a region. ``rows`` has grp, n, rank, d, ...
 
-    With ``nearest`` each set only gives so many, of the least distance by counts.
+    With ``nearest`` a set only gives so many of a region, of the least distance by counts.
     """
+    names = ("grp", "n", "rank", "d", "component")
 
     def run(batches):
-        def parts():
-            at, held = None, []
-            for batch in batches:
-                g, n, d, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "n", "d", "component"))
-                sketches = batch.column("sketch").to_pylist()
-                cuts = np.flatnonzero(np.diff(g)) + 1
-                for lo, hi in zip([0, *cuts], [*cuts, len(g)]):
-                    if hi == lo:
-                        continue
-                    if at is not None and g[lo] != at:
-                        yield from join(held)
-                        held = []
-                    at = g[lo]
-                    held.append((n[lo:hi], d[lo:hi], comp[lo:hi], sketches[lo:hi]))
-            yield from join(held)
-
-        def join(held):
-            if not held:
-                return
-            n, d, comp = (np.concatenate([h[k] for h in held]) for k in range(3))
-            sketches = [v for h in held for v in h[3]]
-            order = np.argsort(n, kind="stable")
-            pairs = _pairs_in_region(n[order], d[order], comp[order], [sketches[k] for k in order], nearest)
-            for a, b in pairs:
-                yield np.minimum(a, b), np.maximum(a, b)
-
-        def distinct():
-            for batch in _gathered(parts(), ["a", "b"]):
-                both = np.unique(np.stack([c.to_numpy() for c in batch.columns], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-        yield from distinct()
+        held, held_rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
+            part.append(batch.column("sketch").to_pylist())
+            # Rows up to the last change of group are whole groups.
+            cuts = np.flatnonzero(np.diff(part[0])) + 1
+            start = 0
+            if held and held[-1][0][-1] != part[0][0]:
+                cuts = np.concatenate(([0], cuts))
+            if len(cuts) and held_rows + int(cuts[-1]) >= CHUNK_ROWS:
+                start = int(cuts[-1])
+                held.append([c[:start] for c in part])
+                yield from pairs(held)
+                held, held_rows = [], 0
+            held.append([c[start:] for c in part])
+            held_rows += batch.num_rows - start
+        if held:
+            yield from pairs(held)
+
+    def pairs(held):
+        g, n, rank, d, comp = (np.concatenate([h[k] for h in held]) for k in range(5))
+        sketches = [v for h in held for v in h[5]]
+        order = np.lexsort((d, n, g))
+        g, n, rank, d, comp = (c[order] for c in (g, n, rank, d, comp))
+        sketches = [sketches[k] for k in order]
+        cells = np.array([len(v) for v in sketches], np.int64)
+        place, counts = np.zeros(len(g), np.int64), {}
+        for c in np.unique(cells):
+            at = np.flatnonzero(cells == c)
+            place[at] = np.arange(len(at))
+            joined = b"".join([sketches[k] for k in at])
+            counts[int(c)] = np.frombuffer(joined, np.uint8).reshape(len(at), int(c))
+        for i, j, gap in _close_rows(g, n, rank, comp, cells, place, counts):
+            if nearest is not None and len(i):
+                order = np.lexsort((gap, j))
+                i, j = i[order], j[order]
+                first = np.maximum.accumulate(np.where(np.diff(j, prepend=-1) != 0, np.arange(len(j)), 0))
+                keep = np.arange(len(j)) - first < nearest
+                i, j = i[keep], j[keep]
+            both = np.unique(np.stack([np.minimum(d[i], d[j]), np.maximum(d[i], d[j])], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     return arrow_map(rows.repartition(F.col("grp")).sortWithinPartitions("grp"), run, "a long, b long")
 
@@ -367,9 +395,9 @@ def verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return arrow_map(named, compare, "a long, b long")
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that sizes and counts do not rule out."""
-    one = classes.select("d", "n", "sketch")
+def _near(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
+    """Pairs that sizes and the counts of a sketch do not rule out."""
+    one = classes.select("d", "n", column)
     both = pairs.join(one.toDF("a", "na", "sa"), "a").join(one.toDF("b", "nb", "sb"), "b")
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
 
@@ -388,7 +416,7 @@ def _open_rows(regions: DataFrame, classes: DataFrame, known: DataFrame) -> Data
     A region of more than ``BLOCK_ROWS`` rows comes as pairs of its blocks.
     """
     named = regions.join(known.withColumnRenamed("node", "d"), "d", "left").select(
-        "token", "d", "n", F.coalesce("component", "d").alias("component")
+        "token", "d", "n", "rank", F.coalesce("component", "d").alias("component")
     )
     several = named.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
@@ -401,6 +429,7 @@ def _open_rows(regions: DataFrame, classes: DataFrame, known: DataFrame) -> Data
     grouped = spread.select(
         F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("grp"),
         "n",
+        "rank",
         "d",
         "component",
     )
@@ -413,13 +442,15 @@ def link_classes(texts: DataFrame, described: DataFrame, classes: DataFrame) ->
     stars = regions.filter(F.col("d") != F.col("pivot")).select(
         F.least("d", "pivot").alias("a"), F.greatest("d", "pivot").alias("b")
     )
-    tried = stored(_near(stars.distinct(), classes), "jaccard-tried")
+    likely = stored(_near(stars.distinct(), classes, "sketch"), "jaccard-likely")
+    tried = stored(_near(likely, classes, "fine"), "jaccard-tried")
     links = stored(verify(texts, classes, tried), "jaccard-links")
     # First the nearest sets, which joins most of what belongs together, then all that is left.
     for nearest in (NEAREST, None):
         known = stored(components(links), "jaccard-known")
         pairs = rest_pairs(_open_rows(regions, classes, known), nearest).distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+        likely = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-likely")
+        pairs = stored(_near(likely, classes, "fine"), "jaccard-rest")
         found = stored(verify(texts, classes, pairs), "jaccard-links")
         tried, links = tried.unionByName(pairs), links.unionByName(found)
     return components(links)
@@ -433,7 +464,7 @@ def jaccard_join(frame: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     described = stored(_describe(frame, key, text), "jaccard-described")
     texts = frame.select(F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("text"))
-    one = F.struct(F.xxhash64(key).alias("h"), "n", "sketch")
+    one = F.struct(F.xxhash64(key).alias("h"), "n", "sketch", "fine")
     sets = described.filter(F.col("d").isNotNull()).groupBy("d").agg(
         F.min_by(one, F.xxhash64(key)).alias("one"), F.min(key).alias("least")
     )

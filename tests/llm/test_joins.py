@@ -130,6 +130,7 @@ def corpus(seed, groups, copies, words):
 def test_components_equal_all_pairs(spark, monkeypatch, seed, frequent, block):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    monkeypatch.setattr(jaccard, "CHUNK_ROWS", 5 * block)
     rows = corpus(seed, 30, 14, 120)
     rows += [(20_000, None), (20_001, ""), (20_002, " \n"), (20_003, "one"), (20_004, "ONE"), (None, "one")]
     out = jaccard.jaccard_join(spark.createDataFrame(rows, DOCS).withColumn("d", F.lit("clash")))
@@ -147,7 +148,8 @@ def test_bounds_never_rule_out_a_link():
         drop = int(rng.integers(0, max(1, len(a) // 8)))
         b = np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 8)))).astype(np.uint64))))
         if len(b) and jaccard.linked(a, b):
-            assert jaccard.may_link(jaccard.sketch(a), jaccard.sketch(b), len(a), len(b))
+            for each in (jaccard.COARSE, jaccard.FINE):
+                assert jaccard.may_link(jaccard.sketch(a, each), jaccard.sketch(b, each), len(a), len(b))
             pa, pb = a[: jaccard.prefix_length(len(a))], b[: jaccard.prefix_length(len(b))]
             assert len(np.intersect1d(pa, pb))
 
