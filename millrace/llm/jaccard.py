@@ -41,7 +41,7 @@ FREQUENT = 64
 # Shingles for each cell of the two sketches of a set: one to look at many pairs, one at few.
 COARSE = 8
 FINE = 1
-LEAST_CELLS = 32
+LEAST_CELLS = 256
 MOST_CELLS = 1 << 14
 NEAREST = 3
 MOST_SEEN = 500_000
