@@ -23,6 +23,7 @@ from millrace.session import shared_folder
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 BLOCK = 1 << 20
+BATCH_ROWS = 1_000
 LONG_WORD = 64
 
 _BASE = 0x9E3779B97F4A7C15
@@ -63,7 +64,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(frame: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` in batches that stay small beside texts of some thousand characters.
+
+    Spark reads the batch size from the session when the plan runs, so it is set there.
+    """
     ship(frame.sparkSession)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return frame.mapInArrow(function, schema)
 
 
