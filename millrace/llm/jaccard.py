@@ -50,6 +50,7 @@ WANTED_BITS = 24
 BLOCK_ROWS = 4096
 OUT_ROWS = 1 << 17
 CHUNK_ROWS = 30_000
+SLICE_ROWS = 4096
 
 
 def prefix_length(n: int) -> int:
@@ -261,9 +262,11 @@ def _gaps(i: np.ndarray, j: np.ndarray, cells: np.ndarray, place: np.ndarray, co
     for kind in np.unique(kinds):
         c, e = divmod(int(kind), 2 * MOST_CELLS)
         if c and e:
-            at = np.flatnonzero(kinds == kind)
-            x, y = counts[c][place[i[at]]], counts[e][place[j[at]]]
-            gaps[at] = apart(folded(x, min(c, e)), folded(y, min(c, e)))
+            every = np.flatnonzero(kinds == kind)
+            for low in range(0, len(every), SLICE_ROWS):
+                at = every[low : low + SLICE_ROWS]
+                x, y = counts[c][place[i[at]]], counts[e][place[j[at]]]
+                gaps[at] = apart(folded(x, min(c, e)), folded(y, min(c, e)))
     return gaps
 
 
