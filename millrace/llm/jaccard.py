@@ -1,8 +1,9 @@
 """Exact n-gram Jaccard join in the metric space of shingle sets.
 
 Distance is one minus Jaccard similarity, a metric; documents link within ``1 - 80 / 100``. Equal
-sets are one class. The join keeps what connects: every link between different texts ends up in
-one component, but links inside a component need not be listed.
+sets are one class. ``jaccard_join`` keeps what connects: every link between different texts ends
+up in one component, but it does not list links inside a component. ``jaccard_links`` verifies and
+lists every link between classes, and counts the links of each document.
 
 Regions. Two linked sets share a shingle among the first ``n - ceil(0.8 n) + 1`` of each, in any
 one order of all shingles. So each of these shingles opens a region, the sets that may link
@@ -413,14 +414,18 @@ def _near(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     return arrow_map(both.filter(fits).select("a", "b", "na", "nb", "sa", "sb"), run, "a long, b long")
 
 
-def _open_rows(regions: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+def _open_rows(regions: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
     """Rows of the regions that still hold several components, in groups of bounded size.
 
-    A region of more than ``BLOCK_ROWS`` rows comes as pairs of its blocks.
+    A region of more than ``BLOCK_ROWS`` rows comes as pairs of its blocks. Without ``known`` each
+    set is a component of its own, so no pair of a region is left out.
     """
-    named = regions.join(known.withColumnRenamed("node", "d"), "d", "left").select(
-        "token", "d", "n", "rank", F.coalesce("component", "d").alias("component")
-    )
+    if known is None:
+        named = regions.select("token", "d", "n", "rank", F.col("d").alias("component"))
+    else:
+        named = regions.join(known.withColumnRenamed("node", "d"), "d", "left").select(
+            "token", "d", "n", "rank", F.coalesce("component", "d").alias("component")
+        )
     several = named.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
     ).filter(F.col("low") != F.col("high"))
@@ -459,19 +464,57 @@ def link_classes(texts: DataFrame, described: DataFrame, classes: DataFrame) ->
     return components(links)
 
 
-def jaccard_join(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id): the least key reachable by links, itself included.
+def all_links(texts: DataFrame, described: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) over digests, ``a`` below ``b``: every link between two classes, each once."""
+    regions = stored(with_pivots(region_rows(texts, frequent_shingles(described))), "jaccard-regions")
+    likely = stored(rest_pairs(_open_rows(regions, classes, None), None).distinct(), "jaccard-likely")
+    near = stored(_near(likely, classes, "fine"), "jaccard-tried")
+    return verify(texts, classes, near)
 
-    Rows with a null key take part in links but give no component its name; repeated keys are
-    rows of their own with the same set or not.
-    """
+
+def _classes(frame: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The described documents, the texts to read again, and a row for each different set."""
     described = stored(_describe(frame, key, text), "jaccard-described")
     texts = frame.select(F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("text"))
     one = F.struct(F.xxhash64(key).alias("h"), "n", "sketch", "fine")
     sets = described.filter(F.col("d").isNotNull()).groupBy("d").agg(
-        F.min_by(one, F.xxhash64(key)).alias("one"), F.min(key).alias("least")
+        F.min_by(one, F.xxhash64(key)).alias("one"), F.min(key).alias("least"), F.count("*").alias("copies")
+    )
+    return described, texts, stored(sets.select("d", "one.*", "least", "copies"), "jaccard-classes")
+
+
+def jaccard_links(frame: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The documents with their number of links, and every link between different sets.
+
+    Documents: (key, set, n_shingles, n_links). ``set`` is the digest of the shingles, null without
+    a word; ``n_links`` counts the other documents within the distance, copies of the set included.
+    Links: (set_a, set_b, key_a, key_b), each once; the keys are the least ones of their sets. The
+    links of all documents are those of their sets, and any two documents of one set link.
+    """
+    described, texts, sets = _classes(frame, key, text)
+    links = stored(all_links(texts, described, sets), "jaccard-all-links")
+    size = sets.select("d", "copies", "least")
+    both = links.select(
+        F.explode(F.array(F.struct(F.col("a").alias("d"), F.col("b").alias("other")), F.struct(F.col("b").alias("d"), F.col("a").alias("other")))).alias("e")
+    ).select("e.*")
+    linked_to = both.join(size.select(F.col("d").alias("other"), "copies"), "other").groupBy("d").agg(F.sum("copies").alias("linked"))
+    counted = size.join(linked_to, "d", "left").select("d", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    documents = described.join(counted, "d", "left").select(
+        key, F.col("d").alias("set"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+    named = links.join(size.select(F.col("d").alias("a"), F.col("least").alias("key_a")), "a").join(
+        size.select(F.col("d").alias("b"), F.col("least").alias("key_b")), "b"
     )
-    sets = stored(sets.select("d", "one.*", "least"), "jaccard-classes")
+    return documents, named.select(F.col("a").alias("set_a"), F.col("b").alias("set_b"), "key_a", "key_b")
+
+
+def jaccard_join(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id): the least key reachable by links, itself included.
+
+    Rows with a null key take part in links but give no component its name; repeated keys are
+    rows of their own with the same set or not.
+    """
+    described, texts, sets = _classes(frame, key, text)
     nodes = stored(link_classes(texts, described, sets), "jaccard-components")
     named = sets.join(nodes, sets["d"] == nodes["node"], "left").select(
         "d", F.coalesce("component", "d").alias("component"), "least"
