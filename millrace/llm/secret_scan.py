@@ -5,7 +5,8 @@ The lexer reads source and configuration syntax (``a = "x"``, ``a: x``, ``"a": "
 a literal, or a sum of literals and known names, is a constant; a later use of the name as a
 value takes its literal. A pair counts when its score, from words of the target name and the
 variety of the literal, reaches ``THRESHOLD``; a constant that is passed to a sensitive target
-is marked where its literal stands. Scores lie in 0 to 1.
+is marked where its literal stands, a sum with a span for each place that holds a part of it.
+Scores lie in 0 to 1.
 
 Null and empty texts have no span. Equal rows give equal spans. Every step moves forward in the
 text, so the work is in proportion to it.
@@ -107,49 +108,100 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+class Value:
+    """What a name stands for: runs of literal text that are written in one place, and other values.
+
+    A value refers to those it is made of, so a constant passed on many times costs one entry each.
+    """
+
+    __slots__ = ("parts", "shown", "single")
+
+    def __init__(self, parts: list[str | Value], start: int = 0, end: int = 0) -> None:
+        self.parts = parts
+        self.single = (start, end)
+        self.shown = 0.0
+
+    def walk(self):
+        """Runs of literal text, in order."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if value.parts and isinstance(value.parts[0], str):
+                yield value
+            else:
+                waiting.extend(reversed(value.parts))
+
+    def literal(self) -> str:
+        return "".join("".join(run.parts) for run in self.walk())
+
+    def runs(self, worth: float):
+        """Each run that was not given before with this worth or more."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if value.shown >= worth:
+                continue
+            value.shown = worth
+            if isinstance(value.parts[0], str):
+                yield value
+            else:
+                waiting.extend(value.parts)
+
+
 def pairs(text: str):
-    """(name, literal, start, end, used) in text order.
+    """(name, value, own) in text order.
 
-    ``used`` is false for a literal that stands with its own name; for a value that came through
-    a constant it is true, and the places are those of the constant's literal.
+    ``own`` has the runs of the value that stand with the name; its other runs came through a
+    constant, and their places are those of the constant's literals. The parts of a sum that are
+    written side by side are one run; a run never holds the text between two places.
     """
-    constants: dict[str, tuple[str, int, int]] = {}
+    constants: dict[str, Value] = {}
     at = 0
     while found := PAIR.search(text, at):
         name, at = found["name"], found.end()
-        parts: list[tuple[str, int, int]] = []
-        through = False
+        parts: list[Value] = []
+        own: set[int] = set()
+        joins = False
         while term := TERM.match(text, at):
             at = term.end()
             group = term.lastgroup
-            part = (term[group], term.start(group), term.end(group))
-            if group == "bare" and part[0] in constants:
-                part, through = constants[part[0]], True
-            parts.append(part)
+            if group == "bare" and term[group] in constants:
+                parts.append(constants[term[group]])
+                joins = False
+            elif joins:
+                parts[-1].parts.append(term[group])
+                parts[-1].single = (parts[-1].single[0], term.end(group))
+            else:
+                parts.append(Value([term[group]], term.start(group), term.end(group)))
+                own.add(id(parts[-1]))
+                joins = True
             more = PLUS.match(text, at)
             if not more:
                 break
             at = more.end()
         if not parts:
             continue
-        literal = "".join(p[0] for p in parts)
-        start, end = min(p[1] for p in parts), max(p[2] for p in parts)
+        value = parts[0] if len(parts) == 1 else Value(parts)
         if IDENTIFIER.fullmatch(name) and len(constants) < MOST_CONSTANTS:
-            constants[name] = (literal, start, end)
-        yield name, literal, start, end, through
+            constants[name] = value
+        yield name, value, own
     for pattern in (ELEMENT, ACCESSED):
         for m in pattern.finditer(text):
-            yield m[1], m[2], m.start(2), m.end(2), False
+            value = Value([m[2]], m.start(2), m.end(2))
+            yield m[1], value, {id(value)}
 
 
 def find_secrets(text: str) -> list[Span]:
     spans = base_spans(text)
     if "=" in text or ":" in text or "</" in text or "set" in text:
         best: dict[tuple[int, int], tuple[float, bool]] = {}
-        for name, literal, start, end, through in pairs(text):
-            worth = score(name, literal)
-            if worth >= THRESHOLD and worth > best.get((start, end), (0.0, False))[0]:
-                best[start, end] = (worth, through)
+        for name, value, own in pairs(text):
+            worth = score(name, value.literal()) if name_score(name) else 0.0
+            if worth < THRESHOLD:
+                continue
+            for run in value.runs(worth):
+                if run.single[0] < run.single[1] and worth > best.get(run.single, (0.0, False))[0]:
+                    best[run.single] = (worth, id(run) not in own)
         spans += [
             ("constant" if through else "literal", start, end, False, worth)
             for (start, end), (worth, through) in best.items()
