@@ -9,7 +9,8 @@ is marked where its literal stands, a sum with a span for each place that holds
 Scores lie in 0 to 1.
 
 Null and empty texts have no span. Equal rows give equal spans. Every step moves forward in the
-text, so the work is in proportion to it.
+text, so the work is in proportion to it. The constants of a text are all kept while it is read, so
+memory is in proportion to it as well.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ KINDS = (*BASE_KINDS, "literal", "constant")
 THRESHOLD = 0.6
 SHORTEST = 8
 REDACTED = "<secret>"
-MOST_CONSTANTS = 100_000
 
 # The patterns of the contract. Runs are taken whole, so a shortest length inside
 # the pattern finds the same matches as a test of the length afterwards.
@@ -51,11 +51,12 @@ HARMLESS = re.compile(
 )
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
-# A name is at most 128 characters long, a value one line: bounds of the syntax read here.
+# A value is one line. Runs are possessive, and begin where no run of the same kind goes on, so each
+# is read a fixed number of times however long it is.
 PAIR = re.compile(
     r"""(?ax)
-    (?<![\w.-]) (?P<quote>["']?) (?P<name>[A-Za-z_][\w.-]{0,127}+) (?P=quote) [\x20\t]{0,64}+
-    (?: :?=(?![=>~]) | => | :(?![:/]) ) [\x20\t]{0,64}+ (?=\S)
+    (?<![\w.-]) (?P<quote>["']?) (?P<name>[A-Za-z_][\w.-]*+) (?P=quote) [\x20\t]*+
+    (?: :?=(?![=>~]) | => | :(?![:/]) ) [\x20\t]*+ (?=\S)
     """
 )
 TERM = re.compile(
@@ -64,10 +65,10 @@ TERM = re.compile(
     | (?P<bare>[A-Za-z0-9+/_.=~$@%-]++)
     """
 )
-PLUS = re.compile(r"[\x20\t]{0,64}+\+[\x20\t]{0,64}+(?=[\"'A-Za-z_])")
-IDENTIFIER = re.compile(r"(?a)[A-Za-z_][\w.-]{0,127}")
-ELEMENT = re.compile(r"(?a)<([A-Za-z_][\w.-]{0,127}+)>([^<>\n]++)</\1>")
-ACCESSED = re.compile(r"(?a)\bset\w{0,64}\(\s{0,16}[\"']?([A-Za-z_][\w.-]{0,127})[\"']?\s{0,16},\s{0,16}[\"']([^\"'\n]++)[\"']")
+PLUS = re.compile(r"[\x20\t]*+\+[\x20\t]*+(?=[\"'A-Za-z_])")
+IDENTIFIER = re.compile(r"(?a)[A-Za-z_][\w.-]*+")
+ELEMENT = re.compile(r"(?a)<([A-Za-z_][\w.-]*+)>([^<>\n]++)</\1>")
+ACCESSED = re.compile(r"(?a)\bset\w*+\(\s*+[\"']?([A-Za-z_][\w.-]*+)[\"']?\s*+,\s*+[\"']([^\"'\n]++)[\"']")
 
 
 def entropy(literal: str) -> float:
@@ -182,7 +183,7 @@ def pairs(text: str):
         if not parts:
             continue
         value = parts[0] if len(parts) == 1 else Value(parts)
-        if IDENTIFIER.fullmatch(name) and len(constants) < MOST_CONSTANTS:
+        if IDENTIFIER.fullmatch(name):
             constants[name] = value
         yield name, value, own
     for pattern in (ELEMENT, ACCESSED):
