@@ -2,10 +2,14 @@
 
 One pass over the texts gives counts, and of them a vector of transformed statistics in steps of
 ``1 / STEP``. For each language and source the minimum-covariance-determinant estimate is found
-by concentration: from the medians and median deviations, the share ``KEPT`` of nearest rows
-gives the next mean and covariance, ``ROUNDS`` times; rows within the 0.975 quantile give the final one.
+by concentration: from each of five robust starts, the nearest half of the rows, ``(n + p + 1) / 2``,
+gives the next mean and covariance, until the determinant stops falling. Of all starts and rounds the
+least determinant stays; rows within the 0.975 quantile of it give the final estimate.
 A document is rejected when its squared Mahalanobis distance is over ``FAR``.
 
+Distances are cut in levels of 1 / 16 octave. Rows of the level where the half ends count with
+the share of them that still belongs to the half, so copies never come in or stay out all at once.
+
 Moments are sums of whole numbers, so the order of rows never matters; they are aggregated for
 each task before the shuffle, so a source that holds a third of all rows costs no more than
 others. Groups of fewer than ``SMALL`` rows are judged by the estimate of their language, and if
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -37,6 +42,10 @@ SMALL = 200
 # Squared distance; for five normal statistics one clean document in 10 million is as far.
 FAR = 42.0
 MOST_BROADCAST = 50_000
+LEVELS = 16
+# A determinant that falls by less than 1 % has stopped falling.
+FALLEN = 0.01
+UNIT = 1 << 16
 
 STATISTICS = ("x_length", "x_word", "x_symbols", "x_lines", "x_repeats")
 # Least deviation of each statistic.
@@ -138,6 +147,7 @@ def chi_square_quantile(p: float, k: float) -> float:
     return (low + high) / 2
 
 
+@lru_cache(4096)
 def consistency(share: float) -> float:
     """By how much the covariance of the nearest ``share`` of normal rows is too small."""
     p = len(STATISTICS)
@@ -232,6 +242,143 @@ def robust_estimates(rows: DataFrame, groups: int) -> DataFrame:
     return stored(_estimates(final, consistency(0.975)), "quality-model")
 
 
+MODEL = "grp string, start int, mean array<double>, inverse array<double>, logdet double"
+
+
+def _shortest_half(values: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """Middle and half width of the least interval of half of the rows. ``values`` are sorted."""
+    total = counts.sum()
+    before = np.concatenate(([0], np.cumsum(counts)))
+    last = np.searchsorted(before[1:], before[:-1] + (total + 1) // 2)
+    fits = last < len(values)
+    width = np.where(fits, values[np.minimum(last, len(values) - 1)] - values, np.inf)
+    k = int(np.argmin(width))
+    return (values[k] + values[last[k]]) / 2, width[k] / 2
+
+
+def _weighted_median(values: np.ndarray, counts: np.ndarray) -> float:
+    order = np.argsort(values, kind="stable")
+    return float(values[order][np.searchsorted(np.cumsum(counts[order]), (counts.sum() + 1) // 2)])
+
+
+def _centres(rows: DataFrame) -> DataFrame:
+    """(grp, mid, wide, dense, narrow): medians and median deviations, and the shortest halves."""
+    ship(rows.sparkSession)
+    values = rows.select("grp", F.posexplode(F.array(*STATISTICS)).alias("place", "value"))
+    counted = values.groupBy("grp", "place", "value").agg(F.count("*").alias("n"))
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for k in range(len(STATISTICS)):
+            part = frame[frame["place"] == k].sort_values("value")
+            x, n = part["value"].to_numpy(np.float64), part["n"].to_numpy(np.int64)
+            mid = _weighted_median(x, n)
+            floor = FLOOR[k] * STEP
+            middle, half = _shortest_half(x, n)
+            # The half width of the shortest half of normal rows is 0.6745 deviations, as the median deviation.
+            deviations = (1.4826 * _weighted_median(np.abs(x - mid), n), 1.4826 * half)
+            out.append((mid, math.hypot(deviations[0], floor), middle, math.hypot(deviations[1], floor)))
+        return pd.DataFrame([(frame["grp"].iloc[0], *map(list, zip(*out)))], columns=["grp", "mid", "wide", "dense", "narrow"])
+
+    kinds = ", ".join(f"{c} array<double>" for c in ("mid", "wide", "dense", "narrow"))
+    return stored(counted.groupBy("grp").applyInPandas(summed, f"grp string, {kinds}"), "quality-centres")
+
+
+def _starts(rows: DataFrame, groups: int) -> DataFrame:
+    """Starts of each group: medians, shortest halves, spatial signs, tanh correlation, and the trimmed quarter."""
+    p = len(STATISTICS)
+    centres = _centres(rows)
+    small = F.broadcast(centres) if groups <= MOST_BROADCAST else centres
+    z = [(F.col(c) - F.get("mid", F.lit(i))) / F.get("wide", F.lit(i)) for i, c in enumerate(STATISTICS)]
+    scaled = rows.join(small, "grp").select("grp", *(v.alias(f"z{i}") for i, v in enumerate(z)))
+    norm = F.sqrt(reduce(Column.__add__, (F.col(f"z{i}") * F.col(f"z{i}") for i in range(p))) + 1e-12)
+    whole = lambda v: F.round(v * UNIT).cast("long")
+    turned = scaled.select(
+        "grp",
+        *(whole(F.col(f"z{i}") / norm).alias(f"u{i}") for i in range(p)),
+        *(whole(F.tanh(f"z{i}")).alias(f"t{i}") for i in range(p)),
+    )
+    sums = turned.groupBy("grp").agg(
+        F.count("*").alias("n"),
+        *(F.sum(F.col(f"u{i}") * F.col(f"u{j}")).cast("double").alias(f"u{i}_{j}") for i, j in _PAIRS),
+        *(F.sum(F.col(f"t{i}") * F.col(f"t{j}")).cast("double").alias(f"t{i}_{j}") for i, j in _PAIRS),
+        *(F.sum(f"t{i}").cast("double").alias(f"m{i}") for i in range(p)),
+    )
+    floor = np.diag(np.square(np.array(FLOOR) * STEP))
+
+    def begin(batches):
+        for frame in batches:
+            out = []
+            for row in frame.to_dict("records"):
+                mid, wide, dense, narrow = (np.array(row[c], np.float64) for c in ("mid", "wide", "dense", "narrow"))
+                sign, tanh = np.zeros((p, p)), np.zeros((p, p))
+                means = np.array([row[f"m{i}"] for i in range(p)]) / row["n"] / UNIT
+                for i, j in _PAIRS:
+                    sign[i, j] = sign[j, i] = row[f"u{i}_{j}"] / row["n"] / UNIT**2 * p
+                    tanh[i, j] = tanh[j, i] = row[f"t{i}_{j}"] / row["n"] / UNIT**2 - means[i] * means[j]
+                spread = np.sqrt(np.diag(tanh) + 1e-6)
+                shapes = (np.eye(p), None, sign, tanh / np.outer(spread, spread))
+                for k, shape in enumerate(shapes):
+                    centre, scale = (dense, narrow) if shape is None else (mid, wide)
+                    cov = np.diag(scale**2) if shape is None else shape * np.outer(scale, scale)
+                    out.append((row["grp"], k, centre.tolist(), np.linalg.inv(cov + floor).ravel().tolist(), 1e300))
+            yield pd.DataFrame(out, columns=["grp", "start", "mean", "inverse", "logdet"])
+
+    made = sums.join(centres, "grp").mapInPandas(begin, MODEL)
+    trimmed = robust_estimates(rows, groups).select(
+        "grp", F.lit(4).alias("start"), "mean", "inverse", F.lit(1e300).alias("logdet")
+    )
+    return stored(made.unionByName(trimmed), "quality-starts")
+
+
+def _mean_and_covariance(sums: dict) -> tuple[np.ndarray, np.ndarray]:
+    p = len(STATISTICS)
+    mean = np.array([sums[f"s{i}"] for i in range(p)]) / sums["n"]
+    cov = np.zeros((p, p))
+    for i, j in _PAIRS:
+        cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["n"] - mean[i] * mean[j]
+    return mean, cov
+
+
+def _concentrate(frame: pd.DataFrame) -> pd.DataFrame:
+    """The next estimate of a group from one start, of the sums of each level of distance."""
+    frame = frame.sort_values("level")
+    n = frame["n"].to_numpy(np.float64)
+    half = min(n.sum(), (n.sum() + len(STATISTICS) + 1) // 2)
+    taken = np.clip(half - (np.cumsum(n) - n), 0, n) / n
+    names = ["n", *(f"s{i}" for i in range(len(STATISTICS))), *(f"s{i}_{j}" for i, j in _PAIRS)]
+    mean, cov = _mean_and_covariance({c: float((frame[c].to_numpy(np.float64) * taken).sum()) for c in names})
+    floor = np.diag(np.square(np.array(FLOOR) * STEP))
+    cov = cov * consistency(half / n.sum()) + floor
+    logdet = float(np.linalg.slogdet(cov)[1])
+    first = frame.iloc[0]
+    row = (first["grp"], int(first["start"]), mean.tolist(), np.linalg.inv(cov).ravel().tolist(), logdet, bool(logdet < first["logdet"] - FALLEN))
+    return pd.DataFrame([row], columns=["grp", "start", "mean", "inverse", "logdet", "falls"])
+
+
+def least_determinant(rows: DataFrame, groups: int) -> DataFrame:
+    """(grp, mean, inverse): the half of least determinant, found from several starts."""
+    level = F.floor(F.log2(F.col("distance") + 2.0**-10) * LEVELS)
+    active, found = _starts(rows, groups), []
+    while not active.isEmpty():
+        ranked = _with_distance(rows, active, groups).withColumn("level", level)
+        sums = ranked.groupBy("grp", "start", "logdet", "level").agg(*_moments())
+        made = stored(sums.groupBy("grp", "start").applyInPandas(_concentrate, MODEL + ", falls boolean"), "quality-half")
+        found.append(made)
+        active = made.filter("falls").drop("falls")
+    if not found:
+        return active.select("grp", "mean", "inverse")
+    every = reduce(DataFrame.unionByName, found)
+    best = every.groupBy("grp").agg(F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "start", "mean")).alias("best"))
+    return stored(best.select("grp", "best.*"), "quality-least")
+
+
+def final_estimates(rows: DataFrame, groups: int) -> DataFrame:
+    """(grp, mean, inverse) of the rows near the half of least determinant."""
+    inside = _with_distance(rows, least_determinant(rows, groups), groups).filter(F.col("distance") <= INSIDE)
+    return stored(_estimates(inside.groupBy("grp").agg(*_moments()), consistency(0.975)), "quality-model")
+
+
 def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang", source: str = "source") -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` for each row, without its text."""
     hidden = {c: f"__{k}" for k, c in enumerate(frame.columns) if c not in (text, language, source)}
@@ -271,7 +418,7 @@ def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang",
     needed = judge.select(F.col("judge").alias("grp")).distinct()
     part = part.join(F.broadcast(needed) if groups <= MOST_BROADCAST else needed, "grp")
     part = stored(part, "quality-part")
-    model = robust_estimates(part, groups)
+    model = final_estimates(part, groups)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = _with_distance(rows.withColumnRenamed("judge", "grp"), model, groups)
     return judged.select(
