@@ -12,8 +12,12 @@ the share of them that still belongs to the half, so copies never come in or sta
 
 Moments are sums of whole numbers, so the order of rows never matters; they are aggregated for
 each task before the shuffle, so a source that holds a third of all rows costs no more than
-others. Groups of fewer than ``SMALL`` rows are judged by the estimate of their language, and if
-that has fewer, by the one of all rows. Null language or source is a group of its own. A floor under each deviation
+others. Every group of more than ``LEAST`` rows has its own estimate. Its inverse covariance counts
+with weight ``1 - LEAST / n`` and that of its language with the rest; its mean goes from that of the
+language at ``LEAST`` rows to the own one at twice as many. The language's are made in the same way
+of its own and those of all rows. So nothing jumps with the number of rows, and only groups of
+``LEAST`` rows or fewer are judged by their language alone. Null
+language or source is a group of its own. A floor under each deviation
 keeps statistics that are the same almost everywhere from rejecting by trifles.
 
 A null or empty text has no words; it fails the base rules. Repeated rows count as often as
@@ -38,7 +42,8 @@ from millrace.llm.common import arrow_map, batch_of, extended, ship, stored
 STEP = 64
 KEPT = 0.75
 ROUNDS = 4
-SMALL = 200
+# Five rows for each statistic.
+LEAST = 25
 # Squared distance; for five normal statistics one clean document in 10 million is as far.
 FAR = 42.0
 MOST_BROADCAST = 50_000
@@ -379,6 +384,37 @@ def final_estimates(rows: DataFrame, groups: int) -> DataFrame:
     return stored(_estimates(inside.groupBy("grp").agg(*_moments()), consistency(0.975)), "quality-model")
 
 
+def blended(sizes: DataFrame, estimates: DataFrame) -> DataFrame:
+    """(grp, mean, inverse) of each language and source, from its own estimate and those above it."""
+
+    def named(prefix: str, *columns: Column) -> DataFrame:
+        return estimates.select(*columns, F.col("mean").alias(f"{prefix}_mean"), F.col("inverse").alias(f"{prefix}_inverse"))
+
+    every = named("all", F.col("grp").alias("all_grp")).filter(F.col("all_grp") == "all").drop("all_grp")
+    known = (
+        sizes.select("by_both", "by_language", "n", "n_language")
+        .join(named("own", F.col("grp").alias("by_both")), "by_both", "left")
+        .join(named("language", F.col("grp").alias("by_language")), "by_language", "left")
+        .crossJoin(F.broadcast(every))
+    )
+
+    def blend(batches):
+        for frame in batches:
+            out = []
+            for row in frame.to_dict("records"):
+                mean, inverse = np.array(row["all_mean"]), np.array(row["all_inverse"])
+                for prefix, n in (("language", row["n_language"]), ("own", row["n"])):
+                    if n > LEAST:
+                        near, weight = min(1.0, n / LEAST - 1), 1 - LEAST / n
+                        mean = near * np.array(row[f"{prefix}_mean"]) + (1 - near) * mean
+                        inverse = weight * np.array(row[f"{prefix}_inverse"]) + (1 - weight) * inverse
+                out.append((row["by_both"], mean.tolist(), inverse.tolist()))
+            yield pd.DataFrame(out, columns=["grp", "mean", "inverse"])
+
+    made = known.mapInPandas(blend, "grp string, mean array<double>, inverse array<double>")
+    return stored(made, "quality-blended")
+
+
 def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang", source: str = "source") -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` for each row, without its text."""
     hidden = {c: f"__{k}" for k, c in enumerate(frame.columns) if c not in (text, language, source)}
@@ -402,25 +438,22 @@ def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang",
         "quality-sizes",
     )
     groups = sizes.count()
-    level = (
-        F.when(F.col("n") >= SMALL, F.col("by_both"))
-        .when(F.col("n_language") >= SMALL, F.col("by_language"))
-        .otherwise("all")
-    )
-    judge = sizes.select("by_both", level.alias("judge"))
-    small = F.broadcast(judge) if groups <= MOST_BROADCAST else judge
-    rows = rows.join(small, "by_both")
-    # A row takes part in the estimates of its own group and of the ones that stand in for
-    # smaller groups.
+    # A row takes part in the estimates of its own group, of its language and of all rows.
     part = rows.select(
         F.explode(F.array("by_both", "by_language", F.lit("all"))).alias("grp"), *STATISTICS
     )
-    needed = judge.select(F.col("judge").alias("grp")).distinct()
+    languages = sizes.select("by_language", "n_language").distinct()
+    needed = (
+        sizes.filter(F.col("n") > LEAST).select(F.col("by_both").alias("grp"))
+        .unionByName(languages.filter(F.col("n_language") > LEAST).select(F.col("by_language").alias("grp")))
+        .unionByName(frame.sparkSession.createDataFrame([("all",)], "grp string"))
+    )
     part = part.join(F.broadcast(needed) if groups <= MOST_BROADCAST else needed, "grp")
     part = stored(part, "quality-part")
-    model = final_estimates(part, groups)
+    model = blended(sizes, final_estimates(part, groups))
+    rows = rows.withColumnRenamed("by_both", "grp")
+    judged = _with_distance(rows, model, groups)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = _with_distance(rows.withColumnRenamed("judge", "grp"), model, groups)
     return judged.select(
         *(F.col(h).alias(c) for c, h in hidden.items() if c not in COUNTS.names),
         *COUNTS.names[:5],

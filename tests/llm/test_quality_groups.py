@@ -31,3 +31,14 @@ def test_much_junk_of_one_source_goes(spark, share, alike):
     out = judged(spark, rows)
     assert all(out[k] for k in range(n))
     assert not any(out[1000 + k] for k in range(junk))
+
+
+def test_a_small_source_is_judged_by_itself(spark):
+    rng = random.Random(3)
+    rows = [(k, clean(rng, length=(2, 4)).replace(" ", "* "), "en", "a") for k in range(300)]
+    rows += [(1000 + k, clean(rng, length=(14, 22)), "en", "b") for k in range(300)]
+    rows += [(2000 + k, clean(rng), "en", "c") for k in range(150)]
+    rows += [(3000 + k, clean(rng, length=(14, 22)), "en", "c") for k in range(15)]
+    out = judged(spark, rows)
+    assert all(kept for key, kept in out.items() if key < 3000)
+    assert not any(kept for key, kept in out.items() if key >= 3000)
