@@ -10,6 +10,7 @@ import hashlib
 import re
 import zipfile
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +25,33 @@ from millrace.session import shared_folder
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 BLOCK = 1 << 20
 BATCH_ROWS = 1_000
+BATCH_BYTES = 1 << 22
 LONG_WORD = 64
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 _BASE = np.uint64(_BASE)
 _BYTES = np.random.default_rng(20250101).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_SPACE = re.compile(rb"[\t-\r ]")
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+class Breaks(NamedTuple):
+    """Bytes that end a word."""
+
+    table: np.ndarray
+    pattern: re.Pattern
+
+    @classmethod
+    def of(cls, pattern: bytes) -> Breaks:
+        compiled = re.compile(pattern)
+        return cls(np.array([bool(compiled.match(bytes([k]))) for k in range(256)]), compiled)
+
+
+SPACES = Breaks.of(rb"[\t-\r ]")
+# All ASCII but letters and digits; no byte of any other character.
+TERMS = Breaks.of(rb"[\x00-/:-@\[-`{-\x7f]")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return frame.select(*columns) if columns else frame
@@ -64,12 +80,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(frame: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` in batches that stay small beside texts of some thousand characters.
+    """``mapInArrow`` in batches bounded by rows and by bytes, so that long texts come in small ones.
 
-    Spark reads the batch size from the session when the plan runs, so it is set there.
+    Spark reads both from the session when the plan runs, so they are set there.
     """
     ship(frame.sparkSession)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return frame.mapInArrow(function, schema)
 
 
@@ -102,13 +119,13 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _block_hashes(data: bytes) -> np.ndarray:
+def _block_words(data: bytes, breaks: Breaks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
-    space = _IS_SPACE[raw]
+    space = breaks.table[raw]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), starts, ends
     powers, inverses = _powers_to(len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTES[raw] * powers[: len(raw)], dtype=np.uint64, out=sums[1:])
@@ -117,20 +134,34 @@ def _block_hashes(data: bytes) -> np.ndarray:
     for k in np.flatnonzero(lengths > LONG_WORD):
         digest = hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest()
         hashes[k] = int.from_bytes(digest, "little")
-    return hashes
+    return hashes, starts, ends
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash for each word, in order; works in blocks, so memory stays in proportion."""
+def tokens(data: bytes, breaks: Breaks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit hash, the start and the end of each word, in order.
+
+    Works in blocks, so memory stays in proportion.
+    """
     if len(data) <= BLOCK:
-        return _block_hashes(data)
+        return _block_words(data, breaks)
     parts, at = [], 0
     while at < len(data):
-        cut = _SPACE.search(data, at + BLOCK)
+        cut = breaks.pattern.search(data, at + BLOCK)
         end = cut.start() if cut else len(data)
-        parts.append(_block_hashes(data[at:end]))
+        hashes, starts, ends = _block_words(data[at:end], breaks)
+        parts.append((hashes, starts + at, ends + at))
         at = end
-    return np.concatenate(parts)
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash for each word, in order."""
+    return tokens(data, SPACES)[0]
+
+
+def lowered(text: str | None) -> bytes:
+    """Text as bytes, A to Z in lower case; none, nothing."""
+    return text.encode().translate(LOWER) if text else b""
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -62,5 +62,82 @@ SELECT conv_id, count(*) AS n_turns,
     FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op11_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (
+  SELECT c, count(*) AS own, c - c % 20 AS base,
+    list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))) AS inverse
+  FROM own GROUP BY c),
+convs AS (
+  SELECT a.c, a.own, a.base, xor(a.inverse, 4294967295) % 4 AS h,
+    least(xor(a.inverse, 4294967295) % 4, coalesce(b.own, 0)) AS head
+  FROM sizes a LEFT JOIN sizes b ON b.c = a.base),
+turns AS (
+  SELECT s.c, o.pos AS depth, o.role, o.text
+  FROM convs s JOIN own o ON o.c = s.base AND o.pos <= s.head
+  UNION ALL
+  SELECT s.c, s.head + o.pos - s.h, o.role, o.text FROM convs s JOIN own o ON o.c = s.c AND o.pos > s.h),
+chained AS (
+  SELECT c, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    sha256(array_to_string(list(sha256(role) || sha256(text)) OVER (PARTITION BY c ORDER BY depth), '')) AS name
+  FROM turns),
+prefixes AS (
+  SELECT c, 0 AS depth, 0 AS words, '' AS name FROM convs
+  UNION ALL SELECT c, depth, words, name FROM chained),
+members AS (
+  SELECT *, lag(name) OVER (PARTITION BY c ORDER BY depth) AS parent,
+    depth = max(depth) OVER (PARTITION BY c) AS last
+  FROM prefixes),
+nodes AS (
+  SELECT depth, name, any_value(parent) AS parent, min(c) AS c, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends
+  FROM members GROUP BY depth, name),
+children AS (SELECT depth - 1 AS depth, parent AS name, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+sums AS (
+  SELECT p.depth, p.name, count(*) FILTER (k.n IS NULL) AS leaves, sum((n.n_convs - 1) * n.words) AS saved
+  FROM nodes n JOIN prefixes p ON p.c = n.c AND p.depth <= n.depth
+  LEFT JOIN children k ON k.depth = n.depth AND k.name = n.name
+  GROUP BY p.depth, p.name)
+SELECT n.c AS conv_id, n.depth, q.c AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+  s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN sums s ON s.depth = n.depth AND s.name = n.name
+LEFT JOIN children k ON k.depth = n.depth AND k.name = n.name
+LEFT JOIN nodes q ON q.depth = n.depth - 1 AND q.name = n.parent
+""",
+    "op12_search": r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+docs AS (SELECT r, doc_id, w, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+counts AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, whole GROUP BY term),
+parts AS (
+  SELECT r, term, weights.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total))) AS part
+  FROM counts JOIN docs USING (r) JOIN weights USING (term), whole),
+scores AS (
+  SELECT item_id, r, doc_id, sum(part)::BIGINT AS score
+  FROM parts JOIN asked USING (term) JOIN docs USING (r) GROUP BY ALL HAVING sum(part) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
 """,
 }

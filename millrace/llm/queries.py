@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, jaccard, language, licenses, pii, quality, secret_scan, templates, urls
+from millrace.llm import (
+    bpe,
+    chat,
+    jaccard,
+    language,
+    lexical,
+    licenses,
+    pii,
+    prefix_trie,
+    quality,
+    secret_scan,
+    templates,
+    urls,
+    vector_search,
+)
 from millrace.llm.common import table
 from millrace.llm.spans import digest_columns
 
@@ -100,6 +114,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.search(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vector_search.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -111,4 +139,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_search": op12_search,
+    "op13_nearest": op13_nearest,
 }
