@@ -13,7 +13,16 @@ from pathlib import Path
 
 from millrace.config import PipelineConfig
 from millrace.operators import latest_hours
-from millrace.plans import STAGES, Folders, backfill, restore, run_incremental, run_pipeline
+from millrace.plans import (
+    STAGES,
+    Flow,
+    Folders,
+    backfill,
+    restore,
+    run_incremental,
+    run_pipeline,
+    take_back,
+)
 from millrace.plans.batch import counts, stale_topics
 from millrace.schemas import GOLD_STATS
 from millrace.session import get_spark
@@ -31,6 +40,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     days = commands.add_parser("backfill", help="rebuild from the first date up to the second")
     days.add_argument("start", type=dt.date.fromisoformat)
     days.add_argument("end", type=dt.date.fromisoformat)
+    undo = commands.add_parser("take-back", help="undo a backfill of the same dates")
+    undo.add_argument("start", type=dt.date.fromisoformat)
+    undo.add_argument("end", type=dt.date.fromisoformat)
+    for command in (days, undo):
+        command.add_argument("--root", help="shared folder of a deployment that runs by loads")
+    summed = commands.add_parser("sum-up", help="add up the partial statistics of all loads")
+    summed.add_argument("root")
     back = commands.add_parser("restore", help="make an older version of a table current")
     back.add_argument("table")
     back.add_argument("version", type=int)
@@ -53,8 +69,15 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}: {rows} rows")
     elif args.command == "incremental":
         run_incremental(spark, cfg, Folders(args.root))
-    elif args.command == "backfill":
-        for name, rows in backfill(spark, cfg, args.start, args.end).rows.items():
+    elif args.command == "sum-up":
+        print(f"up to load {Flow(spark, cfg, Folders(args.root)).sum_up()}")
+    elif args.command in ("backfill", "take-back"):
+        flow = Flow(spark, cfg, Folders(args.root)) if args.root else None
+        if args.command == "backfill":
+            done = flow.backfill(args.start, args.end) if flow else backfill(spark, cfg, args.start, args.end).rows
+        else:
+            done = flow.take_back(args.start, args.end) if flow else take_back(spark, cfg, args.start, args.end).rows
+        for name, rows in done.items():
             print(f"{name}: {rows} rows")
     elif args.command == "restore":
         restore(spark, cfg, args.table, args.version)

@@ -121,8 +121,12 @@ def current_state(events: DataFrame, entity: Entity = CUSTOMERS) -> DataFrame:
 
 
 def state_as_of(events: DataFrame, entity: Entity, ts_ms: int) -> DataFrame:
-    """The mirror as it stood at a commit time, both ends included."""
-    seen = events.filter(F.col("ts_ms").try_cast("bigint") <= ts_ms)
+    """The mirror as it stood at a commit time, both ends included.
+
+    A change without a readable commit time is older than any other, here as in the mirror.
+    """
+    time = F.col("ts_ms").try_cast("bigint")
+    seen = events.filter(time.isNull() | (time <= ts_ms))
     return current_state(seen, entity)
 
 
@@ -151,23 +155,38 @@ def merge_state(state: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def change_rejects(log: DataFrame, entity: Entity) -> DataFrame:
-    """Messages of the entity that cannot give a mirror row or a delete, each with its reason.
-
-    The raw bytes go along, so a message can be repaired and sent again.
-    """
-    own = log.filter(entity.matches(F.col("topic")))
-    events = _with_key_text(_unpack_envelope(own), entity.key)
+def _change_reject_reason(entity: Entity) -> Column:
     images = F.coalesce("op", "ts_ms", "before_json", "after_json")
-    reason = (
-        F.when(F.col("value").isNull(), "no_value")
+    return (
+        F.when(F.col("value").isNull() & F.col("value_str").isNull(), "no_value")
         .when(F.col("value_str").isNull(), "not_utf8")
         .when(images.isNull(), "no_envelope")
         .when(F.col("key_text").isNull(), "no_key")
         .when(F.col("key_text").try_cast(entity.key_type).isNull(), "bad_key")
         .when(F.col("op").isNull(), "no_op")
     )
-    return (
-        events.select("topic", "partition", "offset", "value", reason.alias("reason"))
-        .filter(F.col("reason").isNotNull())
-    )
+
+
+def _rejected(events: DataFrame, entity: Entity, kept: Sequence[str]) -> DataFrame:
+    reason = _change_reject_reason(entity).alias("reason")
+    keyed = _with_key_text(events, entity.key)
+    return keyed.select("topic", "partition", "offset", "value", reason, *kept).filter(F.col("reason").isNotNull())
+
+
+def change_rejects(log: DataFrame, entity: Entity) -> DataFrame:
+    """Messages of the entity that cannot give a mirror row or a delete, each with its reason.
+
+    The raw bytes go along, so a message can be repaired and sent again.
+    """
+    return _rejected(_unpack_envelope(log.filter(entity.matches(F.col("topic")))), entity, ())
+
+
+def bronze_change_rejects(bronze: DataFrame, entity: Entity, *kept: str) -> DataFrame:
+    """The same from stored events, whose envelope has been read already.
+
+    Bytes that are not UTF-8 come from their own column, the others from the stored text. The
+    columns ``kept`` go along.
+    """
+    own = bronze.filter(entity.matches(F.col("topic")))
+    raw = F.coalesce(UNDECODED, F.col("value_str").cast("binary"))
+    return _rejected(own.withColumn("value", raw), entity, kept)

@@ -76,17 +76,29 @@ def _reject_reason() -> Column:
     )
 
 
-def clean_trips(bronze: DataFrame) -> DataFrame:
-    """Typed trips with both times and a fare above zero."""
-    kept = bronze.filter(_reject_reason().isNull())
-    return kept.select(*(column.alias(name) for name, column in _typed_columns().items()))
+def clean_trips(bronze: DataFrame, *kept: str) -> DataFrame:
+    """Typed trips with both times and a fare above zero; the columns ``kept`` go along.
 
+    Each text is read once: typed columns come out of a generator, and the filter is on them.
+    Spark would push it into a plain projection and read the texts again.
+    """
+    typed = [column.alias(name) for name, column in _typed_columns().items()]
+    places = {f"_{place}": _unreadable(place) for place in ("PULocationID", "DOLocationID")}
+    row = F.struct(*typed, *(flag.alias(name) for name, flag in places.items()))
+    fare = F.col("fare_amount")
+    return (
+        bronze.select(*kept, F.inline(F.array(row)))
+        .filter(F.col("pickup_datetime").isNotNull() & F.col("dropoff_datetime").isNotNull())
+        .filter((fare > 0) & ~F.isnan(fare) & ~F.col("_PULocationID") & ~F.col("_DOLocationID"))
+        .drop(*places)
+    )
 
-def trip_rejects(bronze: DataFrame) -> DataFrame:
+
+def trip_rejects(bronze: DataFrame, *kept: str) -> DataFrame:
     """The messages ``clean_trips`` leaves out: identity, the deciding texts and the reason.
 
-    The whole text is in bronze under the same identity, so it is not read here.
+    The whole text is in bronze under the same identity, so it is not read here. The columns
+    ``kept`` go along.
     """
-    return bronze.select(*RECORD_ID, *_DECIDING, _reject_reason().alias("reject_reason")).filter(
-        F.col("reject_reason").isNotNull()
-    )
+    reason = _reject_reason().alias("reject_reason")
+    return bronze.select(*RECORD_ID, *_DECIDING, reason, *kept).filter(F.col("reject_reason").isNotNull())

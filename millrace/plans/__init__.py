@@ -5,11 +5,13 @@ from millrace.plans.batch import (
     backfill,
     restore,
     run_pipeline,
+    take_back,
 )
-from millrace.plans.incremental import Folders, run_incremental
+from millrace.plans.incremental import Flow, Folders, run_incremental
 
 __all__ = [
     "STAGES",
+    "Flow",
     "Folders",
     "StageReport",
     "ValidationError",
@@ -17,4 +19,5 @@ __all__ = [
     "restore",
     "run_incremental",
     "run_pipeline",
+    "take_back",
 ]

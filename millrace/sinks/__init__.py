@@ -1,3 +1,4 @@
+from millrace.sinks.loads import LOAD, LoadedFiles, LoadedMessages, LoadedTable, Progress
 from millrace.sinks.tables import (
     append_table,
     counted,
@@ -6,6 +7,9 @@ from millrace.sinks.tables import (
     overwrite_partitions,
     overwrite_table,
     publish,
+    put_back,
+    replace_interval,
+    setting,
 )
 from millrace.sinks.versions import (
     commit_version,
@@ -19,6 +23,11 @@ from millrace.sinks.versions import (
 )
 
 __all__ = [
+    "LOAD",
+    "LoadedFiles",
+    "LoadedMessages",
+    "LoadedTable",
+    "Progress",
     "append_table",
     "counted",
     "commit_version",
@@ -30,8 +39,11 @@ __all__ = [
     "overwrite_partitions",
     "overwrite_table",
     "publish",
+    "put_back",
     "read_version",
+    "replace_interval",
     "roll_back",
+    "setting",
     "snapshot_sql",
     "version_history",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,14 +16,17 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the time of one write."""
-    before = spark.conf.get(key)
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one write or stream."""
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -56,31 +59,61 @@ def overwrite_table(
 
 
 def overwrite_partitions(
-    df: DataFrame, table: str, column: str, table_format: str = "parquet"
+    df: DataFrame, table: str, columns: str | Sequence[str], table_format: str = "parquet"
 ) -> int:
-    """Replace only the partitions of ``column`` that occur in ``df``; others stay as they are.
+    """Replace only the partitions of ``columns`` that occur in ``df``; others stay as they are.
 
     Rows are rebalanced by partition before the write, so a small partition gives one file and
     a large one is split over many tasks.
     """
     spark = df.sparkSession
-    balanced = df.hint("rebalance", column)
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    balanced = df.hint("rebalance", *columns)
     if not spark.catalog.tableExists(table):
-        return overwrite_table(balanced, table, table_format, [column])
+        return overwrite_table(balanced, table, table_format, columns)
     observed, rows = counted(balanced.select(*spark.table(table).columns))
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         observed.write.insertInto(table, overwrite=True)
     return rows.get["rows"]
 
 
-def publish(spark: SparkSession, view: str, relation: str, columns: Sequence[str]) -> None:
+def replace_interval(df: DataFrame, table: str, column: str, inside: Column, set_aside: str) -> int:
+    """Make ``df`` all that is left of the partitions of ``column`` for which ``inside`` holds.
+
+    Only these partitions are read and written; one that is left without rows is dropped. What
+    they held before is kept in the table ``set_aside``, for ``put_back``. ``df`` must not read
+    the table.
+    """
+    spark = df.sparkSession
+    old = spark.table(table).filter(inside)
+    overwrite_table(old, set_aside, partition_by=[column])
+
+    def values(frame: DataFrame) -> set:
+        return {row[column] for row in frame.select(column).distinct().collect()}
+
+    gone = values(spark.table(set_aside)) - values(df)
+    rows = overwrite_partitions(df, table, column)
+    for value in sorted(gone):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
+    return rows
+
+
+def put_back(spark: SparkSession, table: str, column: str, inside: Column, set_aside: str) -> int:
+    """Undo ``replace_interval``; what it had written is set aside in turn."""
+    kept = spark.table(set_aside)
+    return replace_interval(kept, table, column, inside, f"{set_aside}_undone")
+
+
+def publish(
+    spark: SparkSession, view: str, relation: str, columns: Sequence[str], where: str = "TRUE"
+) -> None:
     """A catalog view with the contract columns of a stored relation.
 
-    For a folder that a stream appends to, ``relation`` is ``files(path)``; the view then shows
-    committed files only.
+    For a folder ``relation`` is ``files(path)``; ``where`` keeps readers off unfinished loads.
     """
     listed = ", ".join(f"`{name}`" for name in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM {relation}")
+    condition = f" WHERE {where}" if where != "TRUE" else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM {relation}{condition}")
 
 
 def files(path: str) -> str:

@@ -16,7 +16,8 @@ class LogSource:
     """Where messages come from. ``path`` means replay; otherwise ``servers`` names the broker.
 
     ``options`` go to the reader untouched, for example ``endingOffsets``, or ``minPartitions``
-    to read one large broker partition with many tasks.
+    to read one large broker partition with many tasks. ``partitions`` has the number of partitions
+    of each topic; with it a bounded run starts at the stored offsets, as a broker wants all of them.
     """
 
     topics: tuple[str, ...]
@@ -24,6 +25,7 @@ class LogSource:
     path: str | None = None
     starting_offsets: str = "earliest"
     options: Mapping[str, str] = field(default_factory=dict)
+    partitions: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def reader_options(self) -> dict[str, str]:

@@ -284,4 +284,101 @@ UNION ALL
 SELECT 2, 'overwrite', count(*) FROM customers WHERE country < 'NATION_2'
 UNION ALL
 SELECT 3, 'rollback', count(*) FROM customers""",
+    "log_intervals": f"""
+WITH {_CHANGES},
+marked AS (
+  SELECT topic, "partition", "offset",
+         "offset" - row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS island
+  FROM (SELECT DISTINCT topic, "partition", "offset" FROM changes)
+)
+SELECT topic, "partition", min("offset") AS first, max("offset") AS last
+FROM marked GROUP BY topic, "partition", island""",
+    "ingest_gaps": f"""
+WITH {_CHANGES}
+SELECT topic, "partition", "offset", op, CAST(ts_ms AS VARCHAR) AS ts_ms, CAST(lsn AS VARCHAR) AS lsn,
+       CAST(CASE WHEN kafka_timestamp >= TIMESTAMP '1996-01-01' AND "offset" % 7 < 5 THEN 1
+            WHEN kafka_timestamp >= TIMESTAMP '1996-01-01' OR "offset" % 3 = 0 THEN 2 ELSE 3 END AS BIGINT) AS load
+FROM changes""",
+    "statistics_by_load": _HOURLY,
+    "stream_replayed": _BRONZE_IDS,
+    "closed_hours": f"""
+WITH {_RAW_TRIPS},
+hourly AS ({_stats('hour')}),
+reached AS (SELECT max(pickup_datetime) - INTERVAL 2 HOUR AS mark FROM picked WHERE pickup_zone IS NOT NULL),
+first_mark AS (
+  SELECT max(pickup_datetime) - INTERVAL 2 HOUR AS mark FROM picked
+  WHERE pickup_zone IS NOT NULL AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}'
+    AND (pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' OR pulocation_id % 5 <> 0)
+),
+late AS (
+  SELECT pickup_zone, date_trunc('hour', pickup_datetime) AS pickup_hour, count(*) AS n
+  FROM picked, first_mark
+  WHERE pickup_zone IS NOT NULL AND pulocation_id % 5 = 0 AND pickup_datetime < TIMESTAMP '{INTERVAL[0]}'
+    AND date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR <= mark
+  GROUP BY ALL
+)
+SELECT h.*, coalesce(n, 0) AS late_trips
+FROM hourly h CROSS JOIN reached LEFT JOIN late USING (pickup_zone, pickup_hour)
+WHERE pickup_hour + INTERVAL 1 HOUR <= mark""",
+    "trip_enrich_hot": f"""
+WITH {_raw_trips("CASE WHEN l_linenumber <= 2 THEN 7 WHEN l_linenumber > 3 THEN l_partkey END")}
+SELECT pulocation_id, CAST(l_suppkey AS INTEGER) AS dolocation_id, fare_amount,
+       pu.p_name AS pickup_zone, d.p_name AS dropoff_zone
+FROM clean LEFT JOIN part AS pu ON pulocation_id = pu.p_partkey
+LEFT JOIN part AS d ON l_suppkey = d.p_partkey""",
+    "touched_buckets": _DRIVER_ROWS,
+    "stored_mirror": _DRIVER_ROWS,
+    "run_rejects": f"""
+WITH {_CHANGES}, {_drivers()},
+messages AS (
+  SELECT topic, kafka_timestamp AS sent, false AS unpaid FROM changes
+  UNION ALL SELECT topic, ts, false FROM driver_changes
+  UNION ALL SELECT '{TRIPS_TOPIC}', l_shipdate, l_extendedprice / 1000 - 5 <= 0 FROM lineitem
+),
+spoiled AS (SELECT *, day(sent) AS d, topic = '{TRIPS_TOPIC}' AS trip, month(sent) % 2 = 0 AS repaired FROM messages),
+judged AS (
+  SELECT topic, repaired, d BETWEEN 11 AND 13 AS broken, unpaid,
+    CASE WHEN d BETWEEN 11 AND 13 AND trip THEN 'no_fields' WHEN d = 11 THEN 'not_utf8'
+         WHEN d = 12 THEN 'no_value' WHEN d = 13 THEN 'no_key' WHEN unpaid THEN 'fare_not_positive' END AS first
+  FROM spoiled
+),
+followed AS (
+  SELECT topic, first,
+    CASE WHEN repaired AND broken THEN CASE WHEN unpaid THEN 'fare_not_positive' END ELSE first END AS last
+  FROM judged WHERE first IS NOT NULL
+),
+found AS (SELECT topic, first AS reason, count(*) AS found FROM followed GROUP BY ALL),
+still AS (SELECT topic, last AS reason, count(*) AS n FROM followed WHERE last IS NOT NULL GROUP BY ALL)
+SELECT topic, reason, found, coalesce(n, 0) AS "left" FROM found LEFT JOIN still USING (topic, reason)""",
+    "redriven_tables": _HOURLY,
+    "backfill_loads": f"SELECT *, CAST(0 AS BIGINT) AS spoiled_rows FROM ({_HOURLY})",
+    "backfill_taken_back": _HOURLY,
+    "cdc_history": f"""
+WITH {_drivers()},
+ordered AS (
+  SELECT *, coalesce(lead(ts_ms) OVER (PARTITION BY id ORDER BY ts_ms, lsn), 9223372036854775807) AS valid_to
+  FROM driver_changes
+)
+SELECT id AS primary_key, topic, ts_ms AS valid_from, valid_to, op, ts_ms AS change_ts, lsn AS change_lsn,
+       "partition", "offset"
+FROM ordered WHERE ts_ms < valid_to""",
+    "cdc_history_as_of": f"WITH {_drivers(f'epoch_us(ts) // 1000 <= {AS_OF_MS}')} SELECT * FROM drivers",
 }
+ORACLES["reconcile_buckets"] = ORACLES["reconcile"].replace("count(*) AS key_count", "count(*)::BIGINT AS key_count")
+ORACLES["fingerprints"] = f"""
+WITH {_CHANGES},
+source AS (
+  SELECT c_custkey AS id, c_name AS name,
+         lower(c_mktsegment) || '@example.com' AS email, 'NATION_' || c_nationkey AS country
+  FROM customer WHERE c_acctbal >= 0
+),
+counted AS (
+  SELECT country, count(*) FILTER (side = 1) AS first_rows, count(*) FILTER (side = 2) AS second_rows
+  FROM (SELECT *, 1 AS side FROM customers UNION ALL SELECT *, 2 FROM source) GROUP BY country
+),
+odd AS (
+  SELECT DISTINCT country FROM (
+    (SELECT * FROM customers EXCEPT ALL SELECT * FROM source)
+    UNION ALL (SELECT * FROM source EXCEPT ALL SELECT * FROM customers))
+)
+SELECT country AS part, first_rows, second_rows FROM counted JOIN odd USING (country)"""

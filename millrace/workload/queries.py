@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.config import PARTITION, PipelineConfig
 from millrace.operators import (
+    DimensionFacts,
     beyond_high_water,
+    change_history,
     change_rejects,
     change_state,
     clean_trips,
@@ -21,23 +23,31 @@ from millrace.operators import (
     drop_replayed,
     duplicate_keys,
     enrich_zones,
+    fingerprint_difference,
+    finished_stats,
     freshness,
+    heavy_places,
     high_water_marks,
     latest_hours,
     live_rows,
     merge_state,
     multiset_difference,
     new_records,
+    offset_intervals,
     parse_change_events,
     parse_trips,
+    reconcile_by_buckets,
     reconcile_counts,
+    rows_at,
     state_as_of,
     table_counts,
+    table_fingerprint,
     trip_rejects,
     with_change_key,
     zone_stats,
 )
-from millrace.plans import Folders, backfill, run_incremental, run_pipeline
+from millrace.operators.zones import BROADCAST_ROW_LIMIT
+from millrace.plans import Flow, Folders, backfill, run_incremental, run_pipeline, take_back
 from millrace.plans.batch import stale_topics
 from millrace.schemas import (
     BRONZE_CHANGES,
@@ -54,6 +64,8 @@ from millrace.schemas import (
 )
 from millrace.session import shared_folder
 from millrace.sinks import (
+    LoadedFiles,
+    LoadedMessages,
     append_table,
     commit_version,
     ensure_database,
@@ -63,7 +75,14 @@ from millrace.sinks import (
     version_history,
 )
 from millrace.sources import LogSource, stream_log
-from millrace.streaming import run_append, run_mirror
+from millrace.streaming import (
+    ClosedHours,
+    fold_touched,
+    run_append,
+    run_ingest,
+    run_mirror,
+    run_stored_mirror,
+)
 from millrace.workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,9 +324,9 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mirror against the first snapshot of customers that are not in debt."""
-    source = (
+def _first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that are not in debt, as the first snapshot had them."""
+    return (
         feeds.table(spark, sf_dir, "customer")
         .filter(F.col("c_acctbal") >= 0)
         .select(
@@ -317,7 +336,11 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("NATION_"), F.col("c_nationkey")).alias("country"),
         )
     )
-    return reconcile_counts(cdc_customers(spark, sf_dir), source, ["id"])
+
+
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror against the first snapshot of customers that are not in debt."""
+    return reconcile_counts(cdc_customers(spark, sf_dir), _first_snapshot(spark, sf_dir), ["id"])
 
 
 def repeat_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +517,226 @@ def silent_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(stale_topics(spark, cfg, dt.datetime.fromisoformat(NOW)), "newest")
 
 
+# --- loads ---------------------------------------------------------------------------------
+
+
+def log_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets of the change log, which has gaps, as intervals."""
+    return offset_intervals(feeds.customers_log(spark, sf_dir))
+
+
+def ingest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of which a part with gaps was stored, then later offsets, then all of it is sent again."""
+    root = shared_folder(spark, "ingest-gaps")
+    log = feeds.customers_log(spark, sf_dir)
+    offset = F.col("offset")
+    late = F.col("timestamp") >= F.lit("1996-01-01").cast("timestamp")
+    schema = parse_change_events(log.limit(0), keep_undecoded=True).schema
+    files = LoadedFiles(spark, f"{root}/bronze", schema, ["topic"])
+    stored = LoadedMessages(files, f"{root}/offsets")
+    for k, part in enumerate((late & (offset % 7 < 5), late | (offset % 3 == 0), F.lit(True))):
+        log.filter(part).write.mode("append").parquet(f"{root}/log-{k}")
+        sent = stream_log(spark, LogSource((CUSTOMERS_TOPIC,), path=f"{root}/log-{k}"))
+        run_ingest(sent, lambda m: parse_change_events(m, keep_undecoded=True), stored, f"{root}/checkpoint-{k}")
+    columns = ("topic", "partition", "offset", "op", "ts_ms", "lsn", "load")
+    return files.between(0, stored.last_load()).select(*columns)
+
+
+def statistics_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries, out of order and overlapping, each adding its partial sums."""
+    cfg, root = _deployment(spark, sf_dir)
+    trips = spark.read.parquet(f"{root}/trips")
+    cfg = replace(cfg, trips=LogSource((TRIPS_TOPIC,), path=f"{root}/sent"))
+    folders, time = Folders(f"{root}/run"), F.col("timestamp")
+    early, late = (F.lit(edge).cast("timestamp") for edge in INTERVAL)
+    for k, part in enumerate((time >= late, time < late, time >= early)):
+        trips.filter(part).write.mode("append").parquet(f"{root}/sent")
+        run_incremental(spark, cfg, folders)
+        if k == 1:
+            Flow(spark, cfg, folders).sum_up()
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
+def touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stretches of the log, out of order, folded into the buckets they touch."""
+    state = f"{_scratch_database(spark)}.drivers_state"
+    events, time = _driver_changes(spark, sf_dir), F.col("kafka_timestamp")
+    cuts = [F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp") for day in (10, 20)]
+    for part in ((time >= cuts[0]) & (time < cuts[1]), time < cuts[0], time >= cuts[1]):
+        fold_touched(events.filter(part), TYPED_DRIVERS, state, 16)
+    return live_rows(spark.table(state), TYPED_DRIVERS)
+
+
+def stored_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror whose newest changes Spark's state store keeps, over several micro-batches."""
+    root = shared_folder(spark, "stored-mirror")
+    state = f"{_scratch_database(spark)}.drivers_state"
+    feeds.drivers_log(spark, sf_dir).repartitionByRange(4, F.col("offset").desc()).write.parquet(f"{root}/log")
+    source = LogSource((DRIVERS_TOPIC,), path=f"{root}/log", options={"maxFilesPerTrigger": "1"})
+    for _ in range(2):
+        events = parse_change_events(stream_log(spark, source))
+        run_stored_mirror(events, TYPED_DRIVERS, state, f"{root}/checkpoint")
+    return live_rows(spark.table(state), TYPED_DRIVERS)
+
+
+def _spoiled_logs(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str, DataFrame]:
+    """A deployment whose logs are spoiled by the data's own values, and the logs as they should be."""
+    cfg, root = _deployment(spark, sf_dir)
+    good = spark.read.parquet(f"{root}/changes").unionByName(spark.read.parquet(f"{root}/trips"))
+    day = F.dayofmonth("timestamp")
+    spoiled = (
+        F.when(day == 11, F.unhex(F.lit("FF7B")))
+        .when(day == 12, F.lit(None))
+        .when(day == 13, F.lit('{"payload":{"op":"u"}}').cast("binary"))
+        .otherwise(F.col("value"))
+    )
+    good.withColumn("value", spoiled).write.parquet(f"{root}/spoiled")
+    source = {name: replace(getattr(cfg, name), path=f"{root}/spoiled") for name in ("changes", "trips")}
+    return replace(cfg, **source), root, good
+
+
+def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of both logs by topic and reason: found, then left when some were sent repaired, twice."""
+    cfg, root, good = _spoiled_logs(spark, sf_dir)
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    flow = Flow(spark, cfg, folders)
+    by = ("topic", "reason")
+    found = flow.open_rejects().groupBy(*by).agg(F.count("*").alias("found"))
+    found.write.parquet(f"{root}/found")
+    for _ in range(2):
+        flow.redrive(good.filter(F.month("timestamp") % 2 == 0))
+        run_incremental(spark, cfg, folders)
+    left = flow.open_rejects().groupBy(*by).agg(F.count("*").alias("left"))
+    both = spark.read.parquet(f"{root}/found").join(left, list(by), "left")
+    return both.select(*by, "found", F.coalesce("left", F.lit(0).cast("bigint")).alias("left"))
+
+
+def redriven_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics after all rejected messages were repaired and sent again."""
+    cfg, root, good = _spoiled_logs(spark, sf_dir)
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    Flow(spark, cfg, folders).redrive(good)
+    run_incremental(spark, cfg, folders)
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
+def backfill_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run by loads: one month spoiled and backfilled, taken back, then backfilled from good bronze."""
+    cfg, root = _deployment(spark, sf_dir)
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    flow, days = Flow(spark, cfg, folders), (INTERVAL[0].date(), INTERVAL[1].date())
+    flow.sum_up()
+    month = F.col(PARTITION) == F.lit(days[0])
+    bronze = flow.trips.rows.files().filter(month)
+    bronze.withColumn("fare_amount", F.lit("0")).write.parquet(f"{root}/spoiled")
+    flow.trips.rows.replace_interval(spark.read.parquet(f"{root}/spoiled"), PARTITION, *days)
+    flow.backfill(*days)
+    none = spark.table(cfg.table(GOLD_STATS)).filter(F.trunc("pickup_hour", "month") == F.lit(days[0])).count()
+    flow.take_back(*days)
+    stats = _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+    return stats.withColumn("spoiled_rows", F.lit(none).cast("bigint"))
+
+
+def backfill_taken_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bounded run: one month spoiled, backfilled, and taken back."""
+    cfg, root = _deployment(spark, sf_dir)
+    run_pipeline(spark, cfg)
+    table, days = cfg.data(BRONZE_TRIPS), (INTERVAL[0].date(), INTERVAL[1].date())
+    month = F.col(PARTITION) == F.lit(days[0])
+    spoiled = spark.table(table).filter(month).withColumn("fare_amount", F.lit("0"))
+    spoiled.write.parquet(f"{root}/spoiled")
+    overwrite_partitions(spark.read.parquet(f"{root}/spoiled"), table, ["load", PARTITION])
+    backfill(spark, cfg, *days)
+    take_back(spark, cfg, *days)
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that repeats itself within a delivery, in the next one, and once all is forgotten."""
+    root = shared_folder(spark, "stream-replayed")
+    log = feeds.customers_log(spark, sf_dir)
+    schema = parse_change_events(log.limit(0), keep_undecoded=True).schema
+    files = LoadedFiles(spark, f"{root}/bronze", schema, ["topic"])
+    stored = LoadedMessages(files, f"{root}/offsets")
+    source = LogSource((CUSTOMERS_TOPIC,), path=f"{root}/log")
+    half = log.filter(F.col("offset") % 2 == 0)
+    for sent, checkpoint in ((half.unionByName(half), "a"), (log, "a"), (log, "b")):
+        sent.write.mode("append").parquet(f"{root}/log")
+        run_ingest(
+            stream_log(spark, source),
+            lambda m: parse_change_events(m, keep_undecoded=True),
+            stored,
+            f"{root}/checkpoint-{checkpoint}",
+            remember="1 hour",
+        )
+    return files.between(0, stored.last_load()).select("topic", "partition", "offset", "op", "ts_ms", "lsn")
+
+
+def closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics by event time: hours closed by a watermark, with the trips that came too late."""
+    root = shared_folder(spark, "closed-hours")
+    trips = _pickup_trips(spark, sf_dir)
+    trips.write.parquet(f"{root}/all")
+    stored = spark.read.parquet(f"{root}/all")
+    start, end = (F.lit(edge).cast("timestamp") for edge in INTERVAL)
+    time, places = F.col("pickup_datetime"), F.col("pulocation_id") % 5 == 0
+    hours = ClosedHours(spark, f"{root}/hours")
+    # The places with a number of five send the trips before the interval after it.
+    for part in ((time < start) & ~places, (time >= start) & (time < end), (time >= end) | ((time < start) & places)):
+        stored.filter(part).write.mode("append").parquet(f"{root}/sent")
+        hours.run(spark.readStream.schema(stored.schema).parquet(f"{root}/sent"))
+    late = hours.late().select("pickup_zone", "pickup_hour", F.col("total_trips").alias("late_trips"))
+    stats = finished_stats(hours.corrected()).join(late, ["pickup_zone", "pickup_hour"], "left")
+    done = stats.filter(F.col("pickup_hour") + F.expr("INTERVAL 1 HOUR") <= F.lit(hours.watermark()).cast("timestamp"))
+    return _local(done.withColumn("late_trips", F.coalesce("late_trips", F.lit(0).cast("bigint"))), "pickup_hour")
+
+
+def trip_enrich_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the trips at one place, a third at none, and a dimension too large to broadcast."""
+    line = F.col("l_linenumber")
+    place = F.when(line <= 2, F.lit(7).cast("bigint")).when(line > 3, F.col("l_partkey"))
+    log = feeds.trips_log(spark, sf_dir, place, F.col("l_suppkey"))
+    root = shared_folder(spark, "trips-hot")
+    clean_trips(parse_trips(log)).write.parquet(f"{root}/trips")
+    trips = spark.read.parquet(f"{root}/trips")
+    large = DimensionFacts(BROADCAST_ROW_LIMIT + 1, 0, 1)
+    enriched = enrich_zones(trips, feeds.part_zones(spark, sf_dir), facts=large, heavy=heavy_places(trips))
+    return enriched.select("pulocation_id", "dolocation_id", "fare_amount", "pickup_zone", "dropoff_zone")
+
+
+# --- history and agreement -----------------------------------------------------------------
+
+
+def cdc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of every driver, with the time it was valid."""
+    history = change_history(_driver_changes(spark, sf_dir), TYPED_DRIVERS)
+    return _local(history.drop("after_json", "ended"))
+
+
+def cdc_history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror at a time, from a stored history partitioned by the month a version ended in."""
+    root = shared_folder(spark, "history")
+    history = change_history(_driver_changes(spark, sf_dir), TYPED_DRIVERS)
+    history.write.partitionBy("ended").parquet(f"{root}/drivers")
+    stored = spark.read.schema(history.schema).parquet(f"{root}/drivers")
+    return rows_at(stored, TYPED_DRIVERS, AS_OF_MS)
+
+
+def reconcile_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reconcile`` in two steps: only key buckets whose checksums differ are joined."""
+    source = _first_snapshot(spark, sf_dir)
+    return reconcile_by_buckets(cdc_customers(spark, sf_dir), source, ["id"])
+
+
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the mirror, by country, whose checksums differ between it and its first snapshot."""
+    sides = (cdc_customers(spark, sf_dir), _first_snapshot(spark, sf_dir))
+    return fingerprint_difference(*(table_fingerprint(side, F.col("country")) for side in sides))
+
+
 QUERIES: dict[str, Query] = {
     "incremental_replayed": incremental_replayed,
     "backfill_run": backfill_run,
@@ -540,4 +783,20 @@ QUERIES: dict[str, Query] = {
     "stream_mirror": stream_mirror,
     "time_travel": time_travel,
     "version_history": versions,
+    "log_intervals": log_intervals,
+    "stream_replayed": stream_replayed,
+    "closed_hours": closed_hours,
+    "trip_enrich_hot": trip_enrich_hot,
+    "ingest_gaps": ingest_gaps,
+    "statistics_by_load": statistics_by_load,
+    "touched_buckets": touched_buckets,
+    "stored_mirror": stored_mirror,
+    "run_rejects": run_rejects,
+    "redriven_tables": redriven_tables,
+    "backfill_loads": backfill_loads,
+    "backfill_taken_back": backfill_taken_back,
+    "cdc_history": cdc_history,
+    "cdc_history_as_of": cdc_history_as_of,
+    "reconcile_buckets": reconcile_buckets,
+    "fingerprints": fingerprints,
 }

@@ -1,0 +1,429 @@
+"""Offset intervals, numbered loads, and what a run by loads leaves alone."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import random
+import re
+from dataclasses import replace
+
+import pytest
+from helpers import change, image, log, raw, rows, trip
+from pyspark.sql import functions as F
+
+from millrace.config import PARTITION, PipelineConfig
+from millrace.operators import (
+    added_partials,
+    change_history,
+    change_state,
+    clean_trips,
+    current_state,
+    enrich_zones,
+    fingerprint_difference,
+    finished_stats,
+    live_rows,
+    merged_intervals,
+    multiset_difference,
+    offset_intervals,
+    outside,
+    parse_change_events,
+    parse_trips,
+    read_spans,
+    reconcile_by_buckets,
+    reconcile_counts,
+    rows_at,
+    starting_offsets,
+    state_as_of,
+    table_fingerprint,
+    zone_partials,
+    zone_stats,
+)
+from millrace.plans import Flow, Folders, backfill, run_incremental, run_pipeline, take_back
+from millrace.schemas import CUSTOMERS, CUSTOMERS_TOPIC, DRIVERS_TOPIC, TRIPS_TOPIC
+from millrace.sinks import LoadedFiles, LoadedMessages, LoadedTable
+from millrace.sources import LogSource, stream_log
+from millrace.streaming import fold_touched, run_ingest, run_stored_mirror
+from millrace.workload import feeds
+
+SF = "/root/testdata/sf0.001"
+IDS = "topic string, partition int, offset bigint"
+MARCH, APRIL = dt.date(1997, 3, 1), dt.date(1997, 4, 1)
+
+
+def same(first, second):
+    return multiset_difference(first, second).count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def plain_intervals(ids):
+    out = []
+    for key in sorted(set(ids)):
+        topic, partition, offset = key
+        if out and out[-1][:2] == (topic, partition) and out[-1][3] == offset - 1:
+            out[-1] = (*out[-1][:3], offset)
+        else:
+            out.append((topic, partition, offset, offset))
+    return out
+
+
+# --- intervals
+
+
+def test_intervals_equal_a_plain_scan_over_blocks_and_repeats(spark):
+    rng = random.Random(3)
+    near = [("a", rng.randint(0, 1), (1 << 16) - 40 + rng.randint(0, 80)) for _ in range(150)]
+    ids = near + near[:20] + [("b", 0, k) for k in range(5)] + [("b", 0, 1 << 40)]
+    found = offset_intervals(spark.createDataFrame(ids, IDS))
+    assert rows(found) == sorted(plain_intervals(ids), key=repr)
+    halves = [offset_intervals(spark.createDataFrame(part, IDS)) for part in (ids[::2], ids[1::2])]
+    assert rows(merged_intervals(halves[0].unionByName(halves[1]))) == rows(found)
+
+
+@pytest.mark.parametrize("most", [0, 3, 100])
+def test_messages_outside_of_intervals(spark, most):
+    rng = random.Random(5)
+    stored = [("a", 0, rng.randint(0, 300)) for _ in range(120)] + [("a", 1, 1 << 17)]
+    sent = [("a", p, k) for p in (0, 1, 2) for k in range(300)] + [("b", 0, 7), ("a", 1, 1 << 17), ("a", 0, 7), ("a", 0, 7)]
+    got = outside(spark.createDataFrame(sent, IDS), offset_intervals(spark.createDataFrame(stored, IDS)), most)
+    assert rows(got) == sorted((m for m in sent if m not in set(stored)), key=repr)
+    none = offset_intervals(spark.createDataFrame([], IDS))
+    assert outside(spark.createDataFrame(sent, IDS), none, most).count() == len(sent)
+
+
+def test_stored_offsets_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "log")
+    feeds.customers_log(spark, SF).write.parquet(path)
+    stored = spark.read.parquet(path)
+    covered = offset_intervals(stored.filter("partition = 0"))
+    text = plan(outside(stored, covered))
+    pushed = re.search(r"PushedFilters: (.*)", text).group(1)
+    assert "LessThan(offset" in pushed and "GreaterThan(offset" in pushed
+    assert "Exchange" not in text and "Join" not in text
+
+
+def test_where_a_broker_is_read_on_from(spark):
+    covered = spark.createDataFrame(
+        [("a", 0, 5, 9), ("a", 0, 20, 30), ("a", 2, 0, 99)], "topic string, partition int, first bigint, last bigint"
+    )
+    assert json.loads(starting_offsets(covered, {"a": 3, "new": 1})) == {
+        "a": {"0": 10, "1": -2, "2": 100},
+        "new": {"0": -2},
+    }
+    assert rows(read_spans(covered)) == [("a", 0, 5, 30), ("a", 2, 0, 99)]
+
+
+# --- loads
+
+
+def messages(spark, root):
+    parsed = parse_change_events(log(spark, []), keep_undecoded=True)
+    return LoadedMessages(LoadedFiles(spark, f"{root}/bronze", parsed.schema, ["topic"]), f"{root}/offsets")
+
+
+def ingest(spark, root, stored):
+    source = LogSource((CUSTOMERS_TOPIC,), path=f"{root}/log")
+    run_ingest(
+        stream_log(spark, source), lambda m: parse_change_events(m, keep_undecoded=True), stored, f"{root}/checkpoint"
+    )
+    return rows(stored.rows.between(0, stored.last_load()).select("offset", "load"))
+
+
+def test_an_unfinished_load_is_replaced_not_doubled(spark, tmp_path):
+    root = str(tmp_path)
+    stored = messages(spark, root)
+    for offsets in ((0, 1, 5), (1, 2, 2)):
+        sent = [change(k, "c", k, k, after=image(k)) for k in offsets]
+        log(spark, sent).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    assert ingest(spark, root, stored) == [(0, 1), (1, 1), (2, 1), (5, 1)]
+    # A load was written, but the run ended before its offsets were: no trace is left of it.
+    half = parse_change_events(log(spark, [change(9, "c", 9, 9, after=image(9))]), keep_undecoded=True)
+    stored.rows.put(half.withColumn("load", F.lit(2).cast("bigint")))
+    log(spark, [change(3, "c", 3, 3, after=image(3)), raw(4, b"\xff")]).write.mode("append").parquet(f"{root}/log")
+    assert ingest(spark, root, stored) == [(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 1)]
+    assert rows(stored.covered()) == [(CUSTOMERS_TOPIC, 0, 0, 5)]
+    assert ingest(spark, root, messages(spark, root)) == ingest(spark, root, stored)
+
+
+def test_a_lost_checkpoint_adds_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    stored = messages(spark, root)
+    feeds.customers_log(spark, SF).write.parquet(f"{root}/log")
+    first = ingest(spark, root, stored)
+    source = LogSource((CUSTOMERS_TOPIC,), path=f"{root}/log")
+    run_ingest(stream_log(spark, source), parse_change_events, stored, f"{root}/another")
+    assert rows(stored.rows.files().select("offset", "load")) == first
+    assert stored.last_load() == 1
+
+
+def test_a_table_of_loads_in_order_and_not(spark, database):
+    def add(stored, *offsets):
+        sent = spark.createDataFrame([("a", 0, k) for k in offsets], IDS)
+        return stored.add(outside(sent, stored.covered()))
+
+    loose, strict = LoadedTable(spark, f"{database}.x"), LoadedTable(spark, f"{database}.y", in_order=True)
+    for stored, found in ((loose, [("a", 0, 0, 1), ("a", 0, 8, 9)]), (strict, [("a", 0, 0, 9)])):
+        assert add(stored, 0, 1) == 2
+        assert add(stored, 0, 1, 8, 9) == 2
+        assert add(stored, 0, 1, 8, 9) == 0
+        assert rows(stored.covered()) == found
+        assert rows(spark.table(stored.table).select("offset", "load")) == [(0, 1), (1, 1), (8, 2), (9, 2)]
+
+
+def test_an_interval_is_replaced_and_nothing_else(spark, tmp_path):
+    schema = spark.createDataFrame([], "v int, day date").schema
+    files = LoadedFiles(spark, str(tmp_path / "t"), schema, ["day"])
+    days = [dt.date(2026, 1, k) for k in (1, 2, 3)]
+    files.put(spark.createDataFrame([(k, day, load) for k, day in enumerate(days) for load in (1, 2)], "v int, day date, load long"))
+    before = set(files.files().inputFiles())
+    one = spark.createDataFrame([(9, days[1], 1)], "v int, day date, load long")
+    files.replace_interval(one, "day", days[1], days[2])
+    want = [(0, days[0], 1), (0, days[0], 2), (2, days[2], 1), (2, days[2], 2)]
+    assert rows(files.files().select("v", "day", "load")) == sorted([*want, (9, days[1], 1)], key=repr)
+    assert {f for f in before if "2026-01-02" not in f} <= set(files.files().inputFiles())
+    files.put_back("day", days[1], days[2])
+    assert rows(files.files().select("v", "day", "load")) == sorted([*want, (1, days[1], 1), (1, days[1], 2)], key=repr)
+
+
+# --- folds
+
+
+def drivers(spark):
+    entity = replace(CUSTOMERS, fields=(("id", "bigint"), *CUSTOMERS.fields[1:]))
+    return parse_change_events(feeds.customers_log(spark, SF)), entity
+
+
+def test_a_fold_leaves_the_files_of_other_buckets(spark, database):
+    events, entity = drivers(spark)
+    table = f"{database}.state"
+    fold_touched(events.filter("kafka_timestamp < '1996-01-01'"), entity, table, 16)
+    before = set(spark.table(table).inputFiles())
+    few = log(spark, [change(10**9, "u", 10**15, 1, after=image(3, "new")), change(10**9 + 1, "d", 5, 1, before=image(3))])
+    assert fold_touched(parse_change_events(few), entity, table, 16) == 1
+    after = set(spark.table(table).inputFiles())
+    assert len({f.split("bucket=")[1].split("/")[0] for f in before ^ after}) == 1
+    assert fold_touched(parse_change_events(log(spark, [])), entity, table, 16) == 0
+    fold_touched(events, entity, table, 16)
+    fold_touched(events, entity, table, 16)
+    whole = current_state(events.unionByName(parse_change_events(few)), entity)
+    assert same(live_rows(spark.table(table), entity), whole)
+
+
+def test_a_mirror_on_the_state_store(spark, tmp_path, database):
+    path, table = str(tmp_path / "log"), f"{database}.state"
+    for batch in (
+        [change(0, "d", 9, 9, before=image(1)), change(1, "c", 1, 1, after=image(2))],
+        [change(2, "u", 5, 5, after=image(1, "late")), raw(7, b"\xff")],
+        [change(3, "u", 3, 3, after=image(2, "newer")), change(4, "c", None, None, after=image(3))],
+    ):
+        log(spark, batch).coalesce(1).write.mode("append").parquet(path)
+        source = LogSource((CUSTOMERS_TOPIC,), path=path, options={"maxFilesPerTrigger": "1"})
+        run_stored_mirror(parse_change_events(stream_log(spark, source)), CUSTOMERS, table, str(tmp_path / "cp"), 4)
+    whole = change_state(parse_change_events(spark.read.parquet(path)), CUSTOMERS)
+    assert same(spark.table(table).select(*whole.columns), whole)
+    assert rows(live_rows(spark.table(table), CUSTOMERS).select("id", "name")) == [(2, "newer"), (3, "n")]
+
+
+# --- partial sums
+
+
+def test_partial_sums_add_up_in_any_parts(spark):
+    zones = spark.createDataFrame([(1, "A"), (2, "B")], "LocationID int, Zone string")
+    sent = [trip(k, fare_amount=1 + k / 7, total_amount=k * 1e13, PULocationID=float(k % 2 + 1)) for k in range(40)]
+    sent += [trip(50, trip_distance="NaN", total_amount="Infinity"), trip(51, total_amount=1e300), trip(52, total_amount=None)]
+    trips = enrich_zones(clean_trips(parse_trips(log(spark, sent))), zones).withColumn("part", F.rand(7) * 4)
+    parts = [zone_partials(trips.filter(f"int(part) = {k}")) for k in range(4)]
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part)
+    added = rows(finished_stats(added_partials(united)).select("pickup_zone", "total_trips", "avg_fare", "total_revenue"))
+    whole = rows(zone_stats(trips).select("pickup_zone", "total_trips", "avg_fare", "total_revenue"))
+    assert added == whole
+    assert [r[3] for r in whole] == [float("inf"), 4e15]
+    minus = trip(60, total_amount="-Infinity")
+    both = enrich_zones(clean_trips(parse_trips(log(spark, [*sent, minus]))), zones)
+    assert str(zone_stats(both).filter("pickup_zone = 'A'").first().total_revenue) == "nan"
+
+
+# --- whole runs
+
+
+@pytest.fixture
+def deployment(spark, database, tmp_path):
+    root = str(tmp_path)
+    changes = feeds.customers_log(spark, SF).unionByName(feeds.drivers_log(spark, SF))
+    changes.write.parquet(f"{root}/changes")
+    feeds.trips_log(spark, SF).write.parquet(f"{root}/trips")
+    feeds.zones(spark, SF).write.parquet(f"{root}/zones")
+    cfg = PipelineConfig(
+        changes=LogSource((CUSTOMERS_TOPIC, DRIVERS_TOPIC), path=f"{root}/changes"),
+        trips=LogSource((TRIPS_TOPIC,), path=f"{root}/trips"),
+        zones_path=f"{root}/zones",
+        database=database,
+        database_location=f"{root}/db",
+        state_buckets=4,
+        partition_grain="month",
+    )
+    return cfg, root
+
+
+def stats_of(spark, root):
+    trips = clean_trips(parse_trips(spark.read.parquet(f"{root}/trips")))
+    return zone_stats(enrich_zones(trips, spark.read.parquet(f"{root}/zones")))
+
+
+def test_a_second_run_touches_neither_bronze_nor_silver(spark, deployment):
+    cfg, root = deployment
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    flow = Flow(spark, cfg, folders)
+    stored = (flow.trips.rows, flow.silver, flow.partials, flow.changes.rows)
+    before = [set(s.files().inputFiles()) for s in stored]
+    more = spark.read.parquet(f"{root}/trips").limit(7).withColumn("offset", F.col("offset") + 10**9)
+    more.write.mode("append").parquet(f"{root}/trips")
+    run_incremental(spark, cfg, folders)
+    for s, files in zip(stored, before, strict=True):
+        assert files <= set(s.files().inputFiles())
+    # What the second load gave comes from the partitions of its own number alone.
+    text = plan(flow.partials_of(flow.silver.between(1, 2)))
+    assert "load#" in re.search(r"PartitionFilters: \[(.*?)\]", text).group(1)
+    read = flow.silver.between(1, 2).select(F.input_file_name()).distinct().collect()
+    assert read and all("load=2" in r[0] for r in read)
+    assert same(spark.table(cfg.table("gold_taxi_aggregates")), stats_of(spark, root))
+    assert flow.sum_up() == 2 and flow.sum_up() == 2
+    assert same(spark.table(cfg.table("gold_taxi_aggregates")), stats_of(spark, root))
+    gold = plan(spark.table(cfg.table("gold_taxi_aggregates")))
+    assert "silver_taxi_trips" not in gold and "bronze" not in gold
+    with pytest.raises(ValueError, match="Parquet"):
+        run_incremental(spark, replace(cfg, table_format="iceberg"), folders)
+
+
+def test_backfill_of_loads_and_back(spark, deployment):
+    cfg, root = deployment
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    flow = Flow(spark, cfg, folders)
+    flow.sum_up()
+    gold = cfg.table("gold_taxi_aggregates")
+    before = rows(spark.table(gold))
+    outside_files = {f for f in flow.silver.files().inputFiles() if "1997-03-01" not in f}
+    month = F.col(PARTITION) == F.lit(MARCH)
+    flow.trips.rows.files().filter(month).withColumn("fare_amount", F.lit("n/a")).write.parquet(f"{root}/bad")
+    flow.trips.rows.replace_interval(spark.read.parquet(f"{root}/bad"), PARTITION, MARCH, APRIL)
+    flow.backfill(MARCH, APRIL)
+    inside = F.trunc("pickup_hour", "month") == F.lit(MARCH)
+    assert spark.table(gold).filter(inside).isEmpty()
+    rejected = spark.table(cfg.table("silver_taxi_rejects")).filter("reject_reason = 'fare_unreadable'").count()
+    assert rejected == spark.read.parquet(f"{root}/bad").count()
+    assert outside_files <= set(flow.silver.files().inputFiles())
+    flow.take_back(MARCH, APRIL)
+    assert rows(spark.table(gold)) == before
+    assert spark.table(cfg.table("silver_taxi_rejects")).filter("reject_reason = 'fare_unreadable'").isEmpty()
+
+
+def test_backfill_of_a_bounded_run_moves_nothing_outside(spark, deployment):
+    cfg, root = deployment
+    run_pipeline(spark, cfg)
+    gold = cfg.table("gold_taxi_aggregates")
+    before, files = rows(spark.table(gold)), set(spark.table(gold).inputFiles())
+    backfill(spark, cfg, MARCH, APRIL)
+    spark.catalog.refreshTable(gold)
+    after = set(spark.table(gold).inputFiles())
+    assert {f.split("pickup_date=")[1].split("/")[0] for f in files ^ after} == {"1997-03-01"}
+    assert rows(spark.table(gold)) == before
+    take_back(spark, cfg, MARCH, APRIL)
+    assert rows(spark.table(gold)) == before
+
+
+def test_dead_letters_of_both_plans(spark, deployment):
+    cfg, root = deployment
+    bad = [raw(10**9, b"\xff"), raw(10**9 + 1, b"{}"), change(10**9 + 2, "u", 1, 1, after={"id": "x"})]
+    bad_trip = trip(10**9 + 3, fare_amount="n/a")
+    log(spark, bad).write.mode("append").parquet(f"{root}/changes")
+    log(spark, [bad_trip]).write.mode("append").parquet(f"{root}/trips")
+    folders = Folders(f"{root}/run")
+    run_incremental(spark, cfg, folders)
+    flow = Flow(spark, cfg, folders)
+    ids = F.col("offset") >= 10**9
+    found = [(10**9, "not_utf8"), (10**9 + 1, "no_envelope"), (10**9 + 2, "bad_key"), (10**9 + 3, "fare_unreadable")]
+    assert rows(flow.open_rejects().filter(ids).select("offset", "reason")) == found
+    fixed = [change(10**9, "u", 10**15, 1, after=image(1, "fixed")), trip(10**9 + 3, fare_amount="-1"), trip(7)]
+    for _ in range(2):
+        taken = flow.redrive(log(spark, fixed))
+        run_incremental(spark, cfg, folders)
+    assert taken == {"bronze_cdc_events": 0, "bronze_taxi_trips": 1}  # the trip is still no good
+    assert rows(flow.open_rejects().filter(ids).select("offset", "reason")) == [*found[1:3], (10**9 + 3, "fare_not_positive")]
+    flow.redrive(log(spark, [trip(10**9 + 3)]))
+    run_incremental(spark, cfg, folders)
+    assert rows(flow.open_rejects().filter(ids).select("offset")) == [(10**9 + 1,), (10**9 + 2,)]
+    customers = spark.table(cfg.table("silver_customers"))
+    assert customers.filter("id = 1").first().name == "fixed"
+    assert spark.table(cfg.table("silver_taxi_trips")).filter("pickup_datetime >= '2026-01-01'").count() == 1
+
+
+def test_rejects_of_a_bounded_run(spark, deployment):
+    cfg, root = deployment
+    log(spark, [raw(10**9, b"\xff"), raw(10**9 + 1, None)]).write.mode("append").parquet(f"{root}/changes")
+    run_pipeline(spark, cfg)
+    rejects = spark.table(cfg.table("silver_cdc_rejects"))
+    assert [(r.offset, r.reason, r.value and bytes(r.value)) for r in rejects.orderBy("offset").collect()] == [
+        (10**9, "not_utf8", b"\xff"),
+        (10**9 + 1, "no_value", None),
+    ]
+
+
+# --- history and agreement
+
+
+def test_history_at_any_time(spark):
+    events = parse_change_events(
+        log(
+            spark,
+            [
+                change(0, "c", None, None, after=image(1, "oldest")),
+                change(1, "u", 10, 1, after=image(1, "a")),
+                change(2, "u", 10, 2, after=image(1, "b")),
+                change(3, "d", 20, 3, before=image(1)),
+                change(4, "c", None, None, after=image(2, "only")),
+            ],
+        )
+    )
+    history = change_history(events, CUSTOMERS)
+    assert history.count() == 4  # the change at (10, 1) never was the newest
+    for at in (-5, 9, 10, 19, 20, 10**14):
+        assert rows(rows_at(history, CUSTOMERS, at)) == rows(state_as_of(events, CUSTOMERS, at)), at
+    assert rows(rows_at(history, CUSTOMERS, 10**14)) == rows(current_state(events, CUSTOMERS))
+    assert [r.name for r in rows_at(history, CUSTOMERS, 9).orderBy("id").collect()] == ["oldest", "only"]
+
+
+def test_history_prunes_what_ended_before(spark, tmp_path):
+    history = change_history(parse_change_events(feeds.drivers_log(spark, SF)), replace(CUSTOMERS, topic=DRIVERS_TOPIC))
+    history.write.partitionBy("ended").parquet(str(tmp_path / "h"))
+    stored = spark.read.schema(history.schema).parquet(str(tmp_path / "h"))
+    text = plan(rows_at(stored, CUSTOMERS, 1_705_276_800_000))
+    assert "ended#" in re.search(r"PartitionFilters: \[(.*?)\]\n", text).group(1)
+
+
+def test_two_level_reconciliation_equals_the_join(spark):
+    good = spark.range(500).select(F.col("id"), F.concat(F.lit("n"), "id").alias("name"))
+    odd = good.filter("id % 100 <> 7").withColumn("name", F.when(F.col("id") == 42, None).otherwise(F.col("name")))
+    odd = odd.unionByName(spark.createDataFrame([(9999, "x")], "id long, name string"))
+    for first, second in ((good, odd), (odd, good), (good, good), (good, good.limit(0))):
+        assert rows(reconcile_by_buckets(first, second, ["id"], 64)) == rows(reconcile_counts(first, second, ["id"]))
+    text = plan(reconcile_by_buckets(good, odd, ["id"], 64))
+    assert text.count("BroadcastHashJoin LeftSemi") >= 2
+
+
+def test_fingerprints_tell_equal_tables_in_any_order(spark):
+    table = spark.range(200).select("id", (F.col("id") % 7).alias("k"))
+    print_of = lambda t: table_fingerprint(t, F.col("k"))
+    assert fingerprint_difference(print_of(table), print_of(table.repartition(5).orderBy(F.desc("id")))).isEmpty()
+    changed = table.withColumn("id", F.when(F.col("id") == 3, 300).otherwise(F.col("id")))
+    assert rows(fingerprint_difference(print_of(table), print_of(changed))) == [(3, 29, 29)]
+    twice = table.unionByName(table.filter("id = 5")).unionByName(table.filter("id = 5"))
+    assert rows(fingerprint_difference(print_of(table), print_of(twice))) == [(5, 28, 30)]
