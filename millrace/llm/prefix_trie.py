@@ -35,6 +35,10 @@ KEY = ("depth", "x", "y")
 # One row becomes this many at most before they are dealt out again.
 SPREAD = 1 << 10
 PIECE_CHARS = 1 << 16
+NODE = (
+    "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, "
+    "saved_tokens long, ends_sha256 string"
+)
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -60,7 +64,8 @@ def numbered_turns(
     ).filter(F.col("conv").isNotNull())
     order = ("turn", "role", "digest")
     part = Window.partitionBy("task", "conv").orderBy(*order)
-    dealt = source.repartitionByRange("conv", *order).withColumn("task", F.spark_partition_id())
+    # Cut points are drawn from a first look at the rows, so what is costly is done before.
+    dealt = stored(source, "trie-source").repartitionByRange("conv", *order).withColumn("task", F.spark_partition_id())
     token = F.substring(F.unhex(F.sha2(F.concat(F.sha2("role", 256), "digest"), 256)), 1, 16)
     parts = stored(
         dealt.select("conv", "task", "words", token.alias("token"), F.row_number().over(part).cast("long").alias("nth")),
@@ -279,26 +284,18 @@ def prefix_trie(
         ),
         "trie-nodes",
     )
-    whole = convs.agg(
-        F.min("conv").alias("conv_id"), F.count("*").alias("n_convs"),
-        F.coalesce(F.max(F.when(F.col("n") == 0, True)), F.lit(False)).alias("ending"),
-    ).filter(F.col("n_convs") > 0)
-    sums = nodes.agg(
-        F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"),
-        F.count(F.when(F.col("depth") == 1, 1)).alias("n_children"),
-    )
+    whole = convs.agg(F.min("conv").alias("conv"), F.count("*").alias("n")).first()
+    if not whole["n"]:
+        return turns.sparkSession.createDataFrame([], NODE)
+    sums = nodes.agg(F.sum("leaves"), F.sum("saved"), F.count(F.when(F.col("depth") == 1, 1))).first()
     at_root = convs.filter(F.col("n") == 0).select(*(zero.alias(c) for c in KEY), "conv")
     ends = end_digests(prefixes.filter("last").select(*KEY, "conv").unionByName(at_root))
     ends = stored(ends, "trie-ends")
-    root_ends = ends.filter(F.col("depth") == 0).select(F.col("ends").alias("root_ends"))
-    none = F.lit(NO_ENDS)
-    # One row each: no product of tables.
-    root = whole.join(sums).join(root_ends, F.lit(True), "left").select(
-        "conv_id", zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children",
-        F.greatest(F.coalesce("leaves", zero), F.lit(1)).alias("n_leaves"),
-        F.coalesce("saved", zero).alias("saved_tokens"),
-        F.coalesce("root_ends", none).alias("ends_sha256"),
-    )
+    top = ends.filter(F.col("depth") == 0).first()
+    digest = top["ends"] if top else NO_ENDS
+    leaves, saved, children = (value or 0 for value in sums)
+    row = (whole["conv"], 0, None, whole["n"], children, max(leaves, 1), saved, digest)
+    root = turns.sparkSession.createDataFrame([row], NODE)
     facts = _merged(
         [nodes, grafted_totals(nodes, prefixes), ends.filter(F.col("depth") > 0)],
         **{c: F.max(c) for c in ("conv", "parent_x", "parent_y", "n_convs", "n_children", "ends")},
@@ -308,13 +305,12 @@ def prefix_trie(
         (F.col("depth") + 1).alias("depth"), F.col("x").alias("parent_x"), F.col("y").alias("parent_y"),
         F.col("conv").alias("parent"),
     )
-    top = whole.select(F.col("conv_id").alias("parent"))
     columns = (
         F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children",
         F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
-        F.coalesce("ends", none).alias("ends_sha256"),
+        F.coalesce("ends", F.lit(NO_ENDS)).alias("ends_sha256"),
     )
     # All nodes of depth one have the root as parent: one known number, no join by it.
-    upper = facts.filter(F.col("depth") == 1).join(F.broadcast(top)).select(*columns)
+    upper = facts.filter(F.col("depth") == 1).withColumn("parent", F.lit(whole["conv"])).select(*columns)
     lower = facts.filter(F.col("depth") > 1).join(named, ["depth", "parent_x", "parent_y"]).select(*columns)
     return root.unionByName(upper).unionByName(lower)

@@ -415,6 +415,10 @@ def blended(sizes: DataFrame, estimates: DataFrame) -> DataFrame:
     return stored(made, "quality-blended")
 
 
+# Columns of the result; one of the input that is called like that is replaced.
+MADE = (*COUNTS.names, "base_failed", "kept", "distance")
+
+
 def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang", source: str = "source") -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` for each row, without its text."""
     hidden = {c: f"__{k}" for k, c in enumerate(frame.columns) if c not in (text, language, source)}
@@ -455,7 +459,7 @@ def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang",
     judged = _with_distance(rows, model, groups)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select(
-        *(F.col(h).alias(c) for c, h in hidden.items() if c not in COUNTS.names),
+        *(F.col(h).alias(c) for c, h in hidden.items() if c not in MADE),
         *COUNTS.names[:5],
         failed.alias("base_failed"),
         (~failed & (F.col("distance") <= FAR)).alias("kept"),

@@ -6,6 +6,8 @@ a literal, or a sum of literals and known names, is a constant; a later use of t
 value takes its literal. A pair counts when its score, from words of the target name and the
 variety of the literal, reaches ``THRESHOLD``; a constant that is passed to a sensitive target
 is marked where its literal stands, a sum with a span for each place that holds a part of it.
+Types after a name, subscripts, triple quotes, adjacent literals and indented blocks are read; a
+call, or a bare word that reads as the name of something, is no literal.
 Scores lie in 0 to 1.
 
 Null and empty texts have no span. Equal rows give equal spans. Every step moves forward in the
@@ -18,10 +20,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
+from millrace.llm.common import arrow_map, extended
 from millrace.llm.spans import Span, add_spans
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -51,21 +57,31 @@ HARMLESS = re.compile(
 )
 NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
-# A value is one line. Runs are possessive, and begin where no run of the same kind goes on, so each
-# is read a fixed number of times however long it is.
+# Runs are possessive, and begin where no run of the same kind goes on, so each is read a fixed
+# number of times however long it is. A name may stand in a subscript, and a type may follow it.
 PAIR = re.compile(
     r"""(?ax)
-    (?<![\w.-]) (?P<quote>["']?) (?P<name>[A-Za-z_][\w.-]*+) (?P=quote) [\x20\t]*+
-    (?: :?=(?![=>~]) | => | :(?![:/]) ) [\x20\t]*+ (?=\S)
+    (?<![\w.-]) (?P<quote>["']?) (?P<name>[A-Za-z_][\w.-]*+) (?P=quote) \]?+ [\x20\t]*+
+    (?: :[\x20\t]*+ [&*]?+ (?:'\w++\x20)?+ (?:(?:mut|const)\x20)?+ [A-Za-z_][\w.:]*+
+            (?:<[^<>\n]*+>|\[[^\[\]\n]*+\])?+ \??+ (?:[\x20]*+\|[\x20]*+None)?+ [\x20\t]*+ =(?![=>~])
+      | :?=(?![=>~]) | => | :(?![:/=]) ) [\x20\t]*+ (?=\S)
     """
 )
 TERM = re.compile(
     r"""(?ax)
-    "(?P<double>[^"\\\n]*+(?:\\.[^"\\\n]*+)*+)" | '(?P<single>[^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'
-    | (?P<bare>[A-Za-z0-9+/_.=~$@%-]++)
+    \"\"\"(?P<long_double>(?:[^"\\]|\\[\s\S]|"(?!""))*+)\"\"\" | '''(?P<long_single>(?:[^'\\]|\\[\s\S]|'(?!''))*+)'''
+    | "(?P<double>[^"\\\n]*+(?:\\.[^"\\\n]*+)*+)" | '(?P<single>[^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'
+    | (?P<bare>(?:[A-Za-z0-9/_.=~$@%-]|\+(?!["']))++)
     """
 )
 PLUS = re.compile(r"[\x20\t]*+\+[\x20\t]*+(?=[\"'A-Za-z_])")
+NEXT_LITERAL = re.compile(r"[\x20\t]*+(?=[\"'])")
+# A value of the lines that follow, indented more than the line of the name.
+BLOCK = re.compile(r"[|>][+-]?[0-9]?[\x20\t]*+\n")
+LINE = re.compile(r"(?P<indent>[\x20\t]*+)(?P<line>[^\n]*+)\n?")
+ARMOUR = re.compile(r"-----[A-Z\x20]++-----")
+# A bare word of one or more plain words: the name of something, not a literal.
+PLAIN = re.compile(r"(?a)[$@%]?(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Z][a-z]+(?=[A-Z]))+[0-9]{0,2}|[A-Za-z]?[0-9]{0,2})")
 IDENTIFIER = re.compile(r"(?a)[A-Za-z_][\w.-]*+")
 ELEMENT = re.compile(r"(?a)<([A-Za-z_][\w.-]*+)>([^<>\n]++)</\1>")
 ACCESSED = re.compile(r"(?a)\bset\w*+\(\s*+[\"']?([A-Za-z_][\w.-]*+)[\"']?\s*+,\s*+[\"']([^\"'\n]++)[\"']")
@@ -149,41 +165,76 @@ class Value:
                 waiting.extend(value.parts)
 
 
+def plain(word: str) -> bool:
+    """Whether a bare word reads as a name: ``settings.PRIVATE_KEY``, ``loadToken``, ``established1``."""
+    return all(PLAIN.fullmatch(part) for part in re.split("[._/-]", word))
+
+
+def block_value(text: str, name_at: int, at: int) -> tuple[Value | None, int]:
+    """The lines of an indented block as runs of one value, and where it ends. Armour is no part."""
+    begin = text.rfind("\n", 0, name_at) + 1
+    outer = len(text[begin:name_at]) - len(text[begin:name_at].lstrip(" \t"))
+    runs: list[Value] = []
+    while at < len(text):
+        m = LINE.match(text, at)
+        line = m["line"].rstrip()
+        if line and len(m["indent"]) <= outer:
+            break
+        if line and not ARMOUR.fullmatch(line):
+            runs.append(Value([line], m.start("line"), m.start("line") + len(line)))
+        at = m.end()
+    return (Value(runs) if len(runs) > 1 else runs[0] if runs else None), at
+
+
 def pairs(text: str):
     """(name, value, own) in text order.
 
     ``own`` has the runs of the value that stand with the name; its other runs came through a
     constant, and their places are those of the constant's literals. The parts of a sum that are
-    written side by side are one run; a run never holds the text between two places.
+    written side by side are one run; a run never holds the text between two places. A call, and
+    a bare word that names something unknown, are no literals, and the name has no value then.
     """
     constants: dict[str, Value] = {}
     at = 0
     while found := PAIR.search(text, at):
         name, at = found["name"], found.end()
+        block = BLOCK.match(text, at)
+        if block:
+            value, at = block_value(text, found.start(), block.end())
+            if value:
+                yield name, value, {id(run) for run in value.walk()}
+            continue
         parts: list[Value] = []
         own: set[int] = set()
-        joins = False
+        joins, known = False, True
         while term := TERM.match(text, at):
             at = term.end()
             group = term.lastgroup
-            if group == "bare" and term[group] in constants:
-                parts.append(constants[term[group]])
+            word = term[group]
+            names = word.split("+") if group == "bare" else []
+            if names and all(n in constants for n in names):
+                parts += [constants[n] for n in names]
                 joins = False
+            elif names and (text[at : at + 1] in ("(", "[") or plain(word)):
+                known = False
             elif joins:
-                parts[-1].parts.append(term[group])
+                parts[-1].parts.append(word)
                 parts[-1].single = (parts[-1].single[0], term.end(group))
             else:
-                parts.append(Value([term[group]], term.start(group), term.end(group)))
+                parts.append(Value([word], term.start(group), term.end(group)))
                 own.add(id(parts[-1]))
                 joins = True
-            more = PLUS.match(text, at)
+            more = PLUS.match(text, at) or (None if names else NEXT_LITERAL.match(text, at))
             if not more:
                 break
             at = more.end()
-        if not parts:
-            continue
+        if not parts or not known:
+            constants.pop(name, None)
+            # The literals of a sum with something unknown are still literals of this name.
+            if not parts:
+                continue
         value = parts[0] if len(parts) == 1 else Value(parts)
-        if IDENTIFIER.fullmatch(name):
+        if known and IDENTIFIER.fullmatch(name):
             constants[name] = value
         yield name, value, own
     for pattern in (ELEMENT, ACCESSED):
@@ -215,26 +266,52 @@ def scan_secrets(frame: DataFrame, text: str = "text") -> DataFrame:
     return add_spans(frame, text, find_secrets, KINDS)
 
 
+def without(text: str, spans: Iterable[tuple[int, int]]) -> str:
+    """``text`` with each run of overlapping spans, given by start, replaced by one mark."""
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], REDACTED]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def hide_secrets(frame: DataFrame, text: str = "text") -> DataFrame:
+    """``frame`` with each run of overlapping spans in ``text`` replaced by one mark, and ``hidden``:
+
+    whether there was one. Texts go through Python once. A column called ``hidden`` is replaced.
+    """
+    kept = [c for c in frame.columns if c != "hidden"]
+    source = frame.select(*(F.col(f"`{c}`") for c in kept))
+    at = kept.index(text)
+
+    def run(batches):
+        for batch in batches:
+            texts, hidden = [], []
+            for value in batch.column(at).to_pylist():
+                spans = sorted((s[1], s[2]) for s in find_secrets(value)) if value else []
+                texts.append(without(value, spans) if spans else value)
+                hidden.append(bool(spans))
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(hidden)], names=[*kept, "hidden"])
+
+    return arrow_map(source, run, extended(source.schema, hidden=BooleanType()))
+
+
 def redact(frame: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``text`` with each run of overlapping spans replaced by one mark; the spans are dropped."""
-
-    def step(state, span):
-        hidden = F.greatest(span["end"], state["at"])
-        fresh = span["start"] >= state["at"]
-        between = F.substring(F.col(text), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        return F.struct(
-            F.when(fresh, F.concat(state["out"], between, F.lit(REDACTED)))
-            .otherwise(state["out"])
-            .alias("out"),
-            hidden.alias("at"),
-        )
-
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    cut = F.aggregate(
-        F.col(spans),
-        start,
-        step,
-        lambda s: F.concat(s["out"], F.substr(F.col(text), (s["at"] + 1).cast("int"))),
-    )
-    clean = F.when(F.size(spans) > 0, cut).otherwise(F.col(text))
-    return frame.withColumn(text, clean).drop(spans)
+    names = frame.columns
+    at, places = names.index(text), names.index(spans)
+    kept = [c for c in names if c != spans]
+
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            found = zip(columns[at].to_pylist(), columns[places].to_pylist(), strict=True)
+            columns[at] = pa.array(
+                [without(t, sorted((s["start"], s["end"]) for s in own)) if own else t for t, own in found], pa.string()
+            )
+            yield pa.RecordBatch.from_arrays([c for k, c in enumerate(columns) if k != places], names=kept)
+
+    return arrow_map(frame, run, frame.drop(spans).schema)

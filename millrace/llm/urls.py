@@ -130,7 +130,8 @@ def judge_urls(frame: DataFrame, rules: DataFrame, url: str = "url", ranges: int
         host.alias("host"),
         path.alias("path"),
         host_key(host).alias("key"),
-        F.pmod(F.xxhash64(row), F.lit(1 << 62)).alias("tie"),
+        # By the place of the row, so that equal rows are cut into ranges as well.
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 62)).alias("tie"),
     )
     cuts = cut_points(points.select("key", "path", "tie"), ranges)
     lower = [c[0] for c in cuts]

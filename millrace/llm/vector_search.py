@@ -181,8 +181,9 @@ def index_chunks(entries: DataFrame, fit: Fit) -> DataFrame:
 
 
 def _far(partial: np.ndarray, seen: int, size: int, limit: np.ndarray) -> np.ndarray:
-    """The test: is the distance over ``seen`` of ``size`` turned dimensions too large?"""
-    return partial * (size / seen) > limit * (1 + EPSILON / math.sqrt(seen)) ** 2
+    """The test: is the distance over ``seen`` of ``size`` turned dimensions too large? Over all it is exact."""
+    doubt = EPSILON / math.sqrt(seen) if seen < size else 0.0
+    return partial * (size / seen) > limit * (1 + doubt) ** 2
 
 
 def scan(columns: np.ndarray, queries: np.ndarray, limits: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,14 +239,16 @@ def _best(ids: list, vectors: np.ndarray, columns: np.ndarray, asked: np.ndarray
     return q[nth < need], found[nth < need], scores[nth < need]
 
 
-def _probed(index: DataFrame, probes: DataFrame, fit: Fit, need: int) -> DataFrame:
-    """What the probes (rep, list, vec, limit) find: (query, vec_id, score)."""
+def _probed(index: DataFrame, probes: DataFrame, load: DataFrame, fit: Fit, need: int) -> DataFrame:
+    """What the probes (rep, list, vec, limit) find: (query, vec_id, score).
+
+    ``load`` has the number of probes of each list.
+    """
     model = index.sparkSession.sparkContext.broadcast(fit)
     chunks = index.groupBy("list").agg(F.collect_list("chunk").alias("chunk"))
-    load = probes.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))  # LISTS rows at most
-    block = F.pmod(F.xxhash64(F.lit(2), "rep"), F.col("blocks"))
+    block = F.pmod(F.xxhash64(F.lit(2), "rep"), F.ceil(F.col("count") / QUERY_BLOCK))
     blocks = (
-        probes.join(F.broadcast(load), "list")
+        probes.join(F.broadcast(load), "list")  # LISTS rows at most
         .withColumn("block", block)
         .groupBy("list", "block")
         .agg(F.collect_list(F.struct("rep", "vec", "limit")).alias("asked"))
@@ -320,21 +323,23 @@ def nearest(
             before = np.cumsum(held[order], axis=1) - held[order]
             near = (np.arange(order.shape[1]) < model.value.probes) | (before < 2 * need)
             q, nth = np.nonzero(near)
-            at = pa.array(q)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep").take(at), batch.column("vec").take(at), pa.array(order[q, nth]), pa.array(nth)],
-                names=["rep", "vec", "list", "nth"],
+                [batch.column("rep").take(pa.array(q)), pa.array(order[q, nth]), pa.array(nth)], names=["rep", "list", "nth"]
             )
 
-    schema = extended(points.schema, list=LongType(), nth=LongType())
-    probes = stored(arrow_map(points, probe, schema), "vector-probes")
+    # Vectors join their probes last, so they are moved once for each list.
+    probes = stored(arrow_map(points, probe, "rep long, list long, nth long"), "vector-probes")
     unknown = F.lit(None).cast("double").alias("limit")
-    near = probes.filter(F.col("nth") < fit.first).select("rep", "list", "vec", unknown)
-    first = stored(_probed(index, near, fit, need), "vector-nearest-lists")
+    near, rest = (probes.filter(F.col("nth") < fit.first), probes.filter(F.col("nth") >= fit.first))
+    load = near.groupBy("list").count()
+    near = near.join(points, "rep").select("rep", "list", "vec", unknown)
+    first = stored(_probed(index, near, load, fit, need), "vector-nearest-lists")
     worst = first.withColumn("_nth", _nth("query")).filter(F.col("_nth") == need)
     worst = worst.select(F.col("query").alias("rep"), F.col("score").alias("limit"))
-    rest = probes.filter(F.col("nth") >= fit.first).join(worst, "rep", "left").select("rep", "list", "vec", "limit")
-    second = _probed(index, rest, fit, need)
+    known = points.join(worst, "rep", "left")
+    load = rest.groupBy("list").count()
+    rest = rest.join(known, "rep").select("rep", "list", "vec", "limit")
+    second = _probed(index, rest, load, fit, need)
     best = first.unionByName(second).withColumn("_nth", _nth("query")).filter(F.col("_nth") <= need)
     results = queries.join(best.withColumnRenamed("query", "rep"), "rep").filter(F.col("id") != F.col("vec_id"))
     return (

@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     frame = queries.QUERIES[name](spark, SF_DIR)
     result = con.execute(oracles.ORACLES[name])
