@@ -47,10 +47,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark, and ``n_chars`` counts the text again where one was."""
-    scanned = secret_scan.scan_secrets(docs)
-    had = F.size("spans") > 0
-    clean = secret_scan.redact(scanned.withColumn("had", had))
-    length = F.when(F.col("had"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    clean = secret_scan.hide_secrets(docs)
+    length = F.when(F.col("hidden"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", length).select(*docs.columns)
 
 
