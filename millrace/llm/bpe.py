@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from millrace.llm.common import arrow_map, extended
 
 NONE = 1 << 62
-Coded = tuple[bytes, str]
 CACHE_ENTRIES = 150_000
 LONGEST_CACHED = 64
 # White_Space of the Unicode character database.
@@ -121,8 +120,8 @@ class Bpe:
         library = Tokenizer.from_str(content)
         self.normal = library.normalizer.normalize_str
         self.cut = library.pre_tokenizer.pre_tokenize_str
-        self.pieces: Recent[Coded] = Recent(self.piece)
-        self.words: Recent[Coded] = Recent(self.word)
+        self.pieces: Recent[bytes] = Recent(self.piece)
+        self.words: Recent[bytes] = Recent(self.word)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word, given in the byte alphabet of the vocabulary."""
@@ -162,47 +161,41 @@ class Bpe:
                 put(first, NONE if r is None else r << width | first)
         return [i for i in ids if i >= 0]
 
-    def coded(self, words: list[str]) -> Coded:
-        """Ids (little-endian) and tokens of words in the byte alphabet."""
+    def coded(self, words: list[str]) -> bytes:
+        """Ids (little-endian) of words in the byte alphabet."""
         ids = [i for word in words for i in self.merge(word)]
-        tokens = self.tokens
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join([tokens[i] for i in ids])
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def word(self, word: str) -> Coded:
+    def word(self, word: str) -> bytes:
         """Of one word of a Latin text."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(BYTE_ALPHABET)
         return self.coded([word])
 
-    def piece(self, piece: str) -> Coded:
+    def piece(self, piece: str) -> bytes:
         """Of any text without white space."""
         return self.coded([w for w, _ in self.cut(self.normal(piece))])
 
-    def _plain(self, text: str, ids: list[bytes], words: list[str]) -> None:
+    def _plain(self, text: str) -> list[bytes]:
         if LATIN.fullmatch(text):
-            got = self.words.all(LATIN_WORDS.findall(text.lower()))
-        else:
-            got = [g for g in self.pieces.all(PIECE.findall(text)) if g[0]]
-        ids += [g[0] for g in got]
-        words += [g[1] for g in got]
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian unsigned 32-bit integers, and the text they decode to."""
+            return self.words.all(LATIN_WORDS.findall(text.lower()))
+        return self.pieces.all(PIECE.findall(text))
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         ids: list[bytes] = []
-        words: list[str] = []
         at = 0
         for found in self.split.finditer(text) if self.split else ():
-            self._plain(text[at : found.start()], ids, words)
+            ids += self._plain(text[at : found.start()])
             ids.append(self.special[found[0]].to_bytes(4, "little"))
-            words.append(found[0])
             at = found.end()
-        self._plain(text[at:], ids, words)
-        return b"".join(ids), " ".join(words)
+        ids += self._plain(text[at:])
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
         """Tokens of known ids, joined by spaces, as a tokenizer without a decoder does."""
-        known = (self.tokens.get(int(i)) for i in np.frombuffer(ids, "<u4"))
-        return " ".join(t for t in known if t is not None)
+        known = map(self.tokens.get, np.frombuffer(ids, "<u4").tolist())
+        return " ".join([t for t in known if t is not None])
 
 
 _loaded: dict[str, Bpe] = {}
@@ -246,19 +239,19 @@ def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], sta
 
 
 def encode(frame: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """Adds ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (text of those ids)."""
+    """Adds ``ids`` (binary, little-endian unsigned 32-bit)."""
     content = Path(tokenizer).read_text(encoding="utf-8")
     shared = frame.sparkSession.sparkContext.broadcast(content)
 
     def start():
         coder = load(shared.value)
-        return lambda value: coder.encode(value or "")
+        return lambda value: (coder.encode(value or ""),)
 
-    return _with_columns(frame, text, {"ids": pa.binary(), "decoded": pa.string()}, start)
+    return _with_columns(frame, text, {"ids": pa.binary()}, start)
 
 
 def decode(frame: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
-    """Adds ``decoded``: the text of ``ids``; null ids count as none."""
+    """Adds ``decoded``: the text of ``ids``, which stay; null ids count as none."""
     content = Path(tokenizer).read_text(encoding="utf-8")
     shared = frame.sparkSession.sparkContext.broadcast(content)
 

@@ -51,6 +51,7 @@ WANTED_BITS = 24
 BLOCK_ROWS = 4096
 OUT_ROWS = 1 << 17
 CHUNK_ROWS = 30_000
+CHUNK_BYTES = 1 << 25
 SLICE_ROWS = 4096
 
 
@@ -306,10 +307,11 @@ def rest_pairs(rows: DataFrame, nearest: int | None) -> DataFrame:
     names = ("grp", "n", "rank", "d", "component")
 
     def run(batches):
-        held, held_rows = [], 0
+        held, held_rows, held_bytes = [], 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
+            held_bytes += batch.column("sketch").nbytes
             part = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
             part.append(batch.column("sketch").to_pylist())
             # Rows up to the last change of group are whole groups.
@@ -317,11 +319,11 @@ def rest_pairs(rows: DataFrame, nearest: int | None) -> DataFrame:
             start = 0
             if held and held[-1][0][-1] != part[0][0]:
                 cuts = np.concatenate(([0], cuts))
-            if len(cuts) and held_rows + int(cuts[-1]) >= CHUNK_ROWS:
+            if len(cuts) and (held_rows + int(cuts[-1]) >= CHUNK_ROWS or held_bytes >= CHUNK_BYTES):
                 start = int(cuts[-1])
                 held.append([c[:start] for c in part])
                 yield from pairs(held)
-                held, held_rows = [], 0
+                held, held_rows, held_bytes = [], 0, 0
             held.append([c[start:] for c in part])
             held_rows += batch.num_rows - start
         if held:

@@ -7,7 +7,8 @@ language with most wins (then largest sum of margins, then first by name) is pre
 
 Training reads a sample of about ``SAMPLE`` labelled rows of each language, picked by a hash of a
 key that is no feature; each machine is trained in a task of its own. Languages are few, so the
-weights (128 KB a machine) pass through the driver to be broadcast.
+weights (128 KB a machine) pass through the driver to be broadcast; more than ``MOST_LABELS`` labels
+are refused.
 
 A text that is null or has no letter gives ``und`` and score 0. Rows with a null label are not
 learned from. With a single learned language every text with a letter gets it, with score 0.5;
@@ -27,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from millrace.llm.common import arrow_map, extended, ship
+from millrace.llm.common import arrow_map, extended
 
 BITS = 15
 SAMPLE = 1_200
+# With so many languages the machines of pairs would no longer be few.
+MOST_LABELS = 256
 EPOCHS = 12
 PENALTY = 2e-4
 SCALE = 40.0
@@ -183,7 +186,10 @@ def fit(labelled: DataFrame, key: Column, text: str = "text", label: str = "lang
         F.col(f"`{text}`").alias("text"),
         F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("draw"),
     ).filter(F.col("label").isNotNull() & F.col("text").isNotNull())
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    found = rows.groupBy("label").agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()
+    if len(found) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} languages: this is no column of languages")
+    counts = {r["label"]: r["n"] for r in found}
     languages = sorted(counts)
     todo = machines(languages)
     if todo.empty:
@@ -207,9 +213,8 @@ def fit(labelled: DataFrame, key: Column, text: str = "text", label: str = "lang
                 names=["label", "draw", "places", "shares"],
             )
 
-    ship(spark)
-    vectors = sample.select("label", "draw", "text").mapInArrow(
-        extract, "label string, draw long, places array<int>, shares array<float>"
+    vectors = arrow_map(
+        sample.select("label", "draw", "text"), extract, "label string, draw long, places array<int>, shares array<float>"
     )
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:

@@ -91,8 +91,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = turns.unionByName(added).withColumn("parts", chat.text_parts(F.col("text")))
     back = chat.format_chats(parts).withColumn("turns", chat.read_back(F.col("formatted")))
-    learned = F.filter("turns", lambda t: t["learned"])
-    loss = F.array_join(F.transform(learned, lambda t: t["text"]), "")
+    masked = F.transform(
+        "loss_spans",
+        lambda s: F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")),
+    )
+    loss = F.array_join(F.transform(masked, chat.unescape), "")
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
         "conv_id",
@@ -106,7 +109,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
-    return bpe.encode(documents, public_tokenizers.path(TOKENIZER)).select(
+    path = public_tokenizers.path(TOKENIZER)
+    return bpe.decode(bpe.encode(documents, path), path).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
