@@ -43,7 +43,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     undo = commands.add_parser("take-back", help="undo a backfill of the same dates")
     undo.add_argument("start", type=dt.date.fromisoformat)
     undo.add_argument("end", type=dt.date.fromisoformat)
-    for command in (days, undo):
+    fresh = commands.add_parser("freshness", help="topics that are too old")
+    fresh.add_argument("now", type=dt.datetime.fromisoformat)
+    for command in (days, undo, fresh):
         command.add_argument("--root", help="shared folder of a deployment that runs by loads")
     summed = commands.add_parser("sum-up", help="add up the partial statistics of all loads")
     summed.add_argument("root")
@@ -52,8 +54,6 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     back.add_argument("version", type=int)
     commands.add_parser("counts", help="rows of each mirror")
     commands.add_parser("report", help="the newest hours, busiest zones first")
-    fresh = commands.add_parser("freshness", help="topics that are too old")
-    fresh.add_argument("now", type=dt.datetime.fromisoformat)
     return parser.parse_args(argv)
 
 
@@ -86,7 +86,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "report":
         latest_hours(spark.table(cfg.table(GOLD_STATS))).show(truncate=False)
     else:
-        stale = stale_topics(spark, cfg, args.now)
+        flow = Flow(spark, cfg, Folders(args.root)) if args.root else None
+        stale = flow.stale_topics(args.now) if flow else stale_topics(spark, cfg, args.now)
         stale.show(truncate=False)
         return 0 if stale.isEmpty() else 1
     return 0

@@ -224,7 +224,25 @@ SELECT CASE WHEN m.id IS NULL THEN 'missing' WHEN s.id IS NULL THEN 'extra'
                  OR m.country IS DISTINCT FROM s.country THEN 'changed' ELSE 'ok' END AS status,
        count(*) AS key_count
 FROM customers AS m FULL OUTER JOIN source AS s ON m.id = s.id GROUP BY 1""",
-    "repeat_difference": "SELECT CAST(0 AS BIGINT) AS differing_rows",
+    "repeat_difference": f"""
+WITH {_CHANGES}, twice AS (
+  SELECT id, name, email, country FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, lsn DESC) AS newest
+    FROM (SELECT * FROM changes UNION ALL SELECT * FROM changes)
+  ) WHERE newest = 1 AND op <> 'd'
+),
+odd AS (
+  (SELECT * FROM customers EXCEPT ALL SELECT * FROM twice)
+  UNION ALL (SELECT * FROM twice EXCEPT ALL SELECT * FROM customers)
+)
+SELECT (SELECT count(*) FROM odd) AS differing_rows, (SELECT count(*) FROM customers) AS compared_rows,
+       (SELECT count(DISTINCT country) FROM odd) AS differing_parts""",
+    "replayed_messages": f"""
+WITH {_drivers()}
+SELECT topic, "partition", "offset", CAST(ts AS TIMESTAMP) AS kafka_timestamp, op,
+       CAST(ts_ms AS VARCHAR) AS ts_ms, CAST(lsn AS VARCHAR) AS lsn
+FROM driver_changes""",
+    "whole_run_statistics": _HOURLY,
     "snapshot_difference": """
 SELECT order_key, CAST(sum(sign) AS BIGINT) AS surplus FROM (
   SELECT o_orderkey AS order_key, 1 AS sign FROM orders

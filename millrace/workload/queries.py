@@ -344,13 +344,20 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeat_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that differ between a mirror and the mirror of the log taken twice: none."""
-    difference = multiset_difference(cdc_customers(spark, sf_dir), cdc_replayed(spark, sf_dir))
-    return difference.agg(F.count("*").alias("differing_rows"))
+    """Rows that differ between a mirror and the mirror of the log taken twice, and those compared."""
+    first, second = cdc_customers(spark, sf_dir), cdc_replayed(spark, sf_dir)
+    parts = fingerprint_difference(*(table_fingerprint(side, F.col("country")) for side in (first, second)))
+    found = multiset_difference(first, second).agg(F.count("*").alias("differing_rows"))
+    counted = first.agg(F.count("*").alias("compared_rows"))
+    one = F.lit(1).alias("one")
+    odd = parts.agg(F.count("*").alias("differing_parts"))
+    return (
+        found.select(one, "*").join(counted.select(one, "*"), "one").join(odd.select(one, "*"), "one").drop("one")
+    )
 
 
 def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order rows against line items, as (order, status) pairs: each surplus with its sign."""
+    """Keys of orders against those of line items: each surplus with its sign."""
     orders = feeds.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"))
     lines = feeds.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"))
     return multiset_difference(orders, lines)
@@ -373,6 +380,13 @@ def ingest_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log sent twice, each message kept once, with what is in it."""
+    log = feeds.drivers_log(spark, sf_dir)
+    events = parse_change_events(drop_replayed(log.unionByName(log)))
+    return _local(events.drop("value_str", "before_json", "after_json"), "kafka_timestamp")
+
+
 def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half a log stored, then all of it offered again: only the rest is added."""
     table = f"{_scratch_database(spark)}.bronze"
@@ -449,7 +463,7 @@ def backfill_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(spark.table(table).drop("pickup_month"), "pickup_hour")
 
 
-def _deployment(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
+def deployment(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
     """Both logs and the zones as files, and settings that read them."""
     database = _scratch_database(spark)
     root = shared_folder(spark, "logs")
@@ -470,16 +484,24 @@ def _deployment(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str]:
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages from logs to tables, run twice; the sizes of the tables."""
-    cfg, _ = _deployment(spark, sf_dir)
+    cfg, _ = deployment(spark, sf_dir)
     for _ in range(2):
         run_pipeline(spark, cfg)
     names = (BRONZE_CHANGES, BRONZE_TRIPS, SILVER_CUSTOMERS, SILVER_DRIVERS, SILVER_TRIPS, GOLD_STATS)
     return table_counts({name: spark.table(cfg.table(name)) for name in names})
 
 
+def whole_run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored statistics of a bounded run that was started twice."""
+    cfg, _ = deployment(spark, sf_dir)
+    for _ in range(2):
+        run_pipeline(spark, cfg)
+    return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
+
+
 def checkpointed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages driven by checkpoints, run twice; the stored statistics."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     for _ in range(2):
         run_incremental(spark, cfg, Folders(f"{root}/run"))
     return _local(spark.table(cfg.table(GOLD_STATS)), "pickup_hour")
@@ -487,7 +509,7 @@ def checkpointed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries to a checkpointed run; the second, in other files, holds the first again."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     trips = spark.read.parquet(f"{root}/trips")
     cfg = replace(cfg, trips=LogSource((TRIPS_TOPIC,), path=f"{root}/sent"))
     for part in (F.col("timestamp") < F.lit(INTERVAL[0]).cast("timestamp"), F.lit(True)):
@@ -498,7 +520,7 @@ def incremental_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics after the trips of one month have all become invalid and it was backfilled."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     run_pipeline(spark, cfg)
     table = cfg.data(BRONZE_TRIPS)
     month = F.col(PARTITION) == F.lit(INTERVAL[0].date())
@@ -511,7 +533,7 @@ def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silent_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics that are too old, one of which never had a message."""
-    cfg, _ = _deployment(spark, sf_dir)
+    cfg, _ = deployment(spark, sf_dir)
     cfg = replace(cfg, trips=replace(cfg.trips, topics=(TRIPS_TOPIC, "silent")))
     run_pipeline(spark, cfg, stages=("ingest-changes", "ingest-trips"))
     return _local(stale_topics(spark, cfg, dt.datetime.fromisoformat(NOW)), "newest")
@@ -544,7 +566,7 @@ def ingest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def statistics_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries, out of order and overlapping, each adding its partial sums."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     trips = spark.read.parquet(f"{root}/trips")
     cfg = replace(cfg, trips=LogSource((TRIPS_TOPIC,), path=f"{root}/sent"))
     folders, time = Folders(f"{root}/run"), F.col("timestamp")
@@ -581,7 +603,7 @@ def stored_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _spoiled_logs(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, str, DataFrame]:
     """A deployment whose logs are spoiled by the data's own values, and the logs as they should be."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     good = spark.read.parquet(f"{root}/changes").unionByName(spark.read.parquet(f"{root}/trips"))
     day = F.dayofmonth("timestamp")
     spoiled = (
@@ -624,7 +646,7 @@ def redriven_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run by loads: one month spoiled and backfilled, taken back, then backfilled from good bronze."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     folders = Folders(f"{root}/run")
     run_incremental(spark, cfg, folders)
     flow, days = Flow(spark, cfg, folders), (INTERVAL[0].date(), INTERVAL[1].date())
@@ -642,7 +664,7 @@ def backfill_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_taken_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded run: one month spoiled, backfilled, and taken back."""
-    cfg, root = _deployment(spark, sf_dir)
+    cfg, root = deployment(spark, sf_dir)
     run_pipeline(spark, cfg)
     table, days = cfg.data(BRONZE_TRIPS), (INTERVAL[0].date(), INTERVAL[1].date())
     month = F.col(PARTITION) == F.lit(days[0])
@@ -783,6 +805,8 @@ QUERIES: dict[str, Query] = {
     "stream_mirror": stream_mirror,
     "time_travel": time_travel,
     "version_history": versions,
+    "replayed_messages": replayed_messages,
+    "whole_run_statistics": whole_run_statistics,
     "log_intervals": log_intervals,
     "stream_replayed": stream_replayed,
     "closed_hours": closed_hours,

@@ -299,6 +299,10 @@ def test_a_second_run_touches_neither_bronze_nor_silver(spark, deployment):
     assert same(spark.table(cfg.table("gold_taxi_aggregates")), stats_of(spark, root))
     gold = plan(spark.table(cfg.table("gold_taxi_aggregates")))
     assert "silver_taxi_trips" not in gold and "bronze" not in gold
+    times = spark.read.parquet(f"{root}/changes").unionByName(spark.read.parquet(f"{root}/trips"))
+    newest = {r.topic: r.t for r in times.groupBy("topic").agg(F.max("timestamp").alias("t")).collect()}
+    found = {r.topic: r.newest for r in flow.stale_topics(dt.datetime(2030, 1, 1)).collect()}
+    assert found == newest
     with pytest.raises(ValueError, match="Parquet"):
         run_incremental(spark, replace(cfg, table_format="iceberg"), folders)
 
