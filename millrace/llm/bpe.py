@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import arrow_map, extended
 
 NONE = 1 << 62
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 50_000
 LONGEST_CACHED = 64
 # White_Space of the Unicode character database.
 PIECE = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
