@@ -14,6 +14,7 @@ from millrace.operators import (
     clean_trips,
     current_state,
     enrich_zones,
+    heavy_places,
     latest_hours,
     merge_state,
     multiset_difference,
@@ -23,6 +24,7 @@ from millrace.operators import (
     zone_stats,
 )
 from millrace.operators.changes import STATE_KEY
+from millrace.operators.zones import MOST_HEAVY
 from millrace.schemas import CUSTOMERS, CUSTOMERS_TOPIC
 from millrace.sinks import commit_version, read_version
 from millrace.workload import feeds
@@ -132,6 +134,25 @@ def test_hot_place_is_split_when_the_dimension_is_shuffled(spark, tmp_path):
     assert len(rows) == clean_trips(parse_trips(stored)).count()
 
 
+def test_heavy_and_missing_places_are_dealt_to_many_tasks(spark, tmp_path):
+    line = F.col("l_linenumber")
+    place = F.when(line <= 2, F.lit(7).cast("bigint")).when(line > 3, F.col("l_partkey"))
+    clean_trips(parse_trips(feeds.trips_log(spark, SF, place, F.col("l_suppkey")))).write.parquet(str(tmp_path / "t"))
+    trips, zones = spark.read.parquet(str(tmp_path / "t")), feeds.part_zones(spark, SF)
+    heavy = heavy_places(trips, ["pickup"])
+    assert 7 in heavy["pickup"] and len(heavy["pickup"]) <= MOST_HEAVY
+
+    def largest(frame):
+        sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+        return max(sizes) / (sum(sizes) / 8)
+
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plain = enrich_zones(trips, zones, ["pickup"], LARGE)
+        dealt = enrich_zones(trips, zones, ["pickup"], LARGE, heavy)
+        assert largest(plain) > 2.5 and largest(dealt) < 1.5
+        assert multiset_difference(plain, dealt).count() == 0
+
+
 def test_report_is_a_top_k_without_a_global_sort(spark):
     trips = clean_trips(parse_trips(feeds.trips_log(spark, SF)))
     text = plan(latest_hours(zone_stats(enrich_zones(trips, feeds.zones(spark, SF), ["pickup"]))))
