@@ -96,6 +96,30 @@ def test_messages_outside_of_intervals(spark, most):
     assert outside(spark.createDataFrame(sent, IDS), none, most).count() == len(sent)
 
 
+def test_scattered_offsets_meet_few_rows_in_a_task(spark, monkeypatch):
+    """Every other offset stored: neither the intervals nor the lookup may gather them in one group."""
+    from millrace.operators import offsets
+
+    groups = []
+    islands = offsets._islands
+
+    def counted(rows, by, first, last):
+        groups.append(rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0)
+        return islands(rows, by, first, last)
+
+    monkeypatch.setattr(offsets, "_islands", counted)
+    ids = spark.range(0, 400_000, 2).select(F.lit("a").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    stored = offset_intervals(ids).localCheckpoint()
+    assert stored.count() == 200_000
+    more = offset_intervals(ids.withColumn("offset", F.col("offset") + 1), stored)
+    assert rows(more) == [("a", 0, 0, 399_999)]
+    assert max(groups) <= offsets.BLOCK
+    sent = ids.unionByName(ids.limit(1000).withColumn("offset", F.col("offset") + 1))
+    for bitmaps in (0, offsets.MOST_BITMAPS):
+        fresh = outside(sent, stored, 100, bitmaps)
+        assert rows(fresh.agg(F.count("*"), F.min("offset"), F.max("offset"))) == [(1000, 1, 1999)]
+
+
 def test_stored_offsets_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "log")
     feeds.customers_log(spark, SF).write.parquet(path)
