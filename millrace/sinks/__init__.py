@@ -4,12 +4,14 @@ from millrace.sinks.tables import (
     counted,
     ensure_database,
     files,
+    laid_out,
     overwrite_partitions,
     overwrite_table,
     publish,
     put_back,
     replace_interval,
     setting,
+    writing,
 )
 from millrace.sinks.versions import (
     commit_version,
@@ -36,6 +38,7 @@ __all__ = [
     "ensure_database",
     "expire_versions",
     "files",
+    "laid_out",
     "overwrite_partitions",
     "overwrite_table",
     "publish",
@@ -46,4 +49,5 @@ __all__ = [
     "setting",
     "snapshot_sql",
     "version_history",
+    "writing",
 ]

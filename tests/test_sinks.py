@@ -12,6 +12,7 @@ from millrace.sinks import (
     append_table,
     commit_version,
     expire_versions,
+    laid_out,
     overwrite_partitions,
     overwrite_table,
     read_version,
@@ -55,6 +56,22 @@ def test_only_partitions_in_the_data_are_replaced(spark, database):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
+def test_rows_are_shuffled_for_a_write_only_where_files_would_be_small(spark, database):
+    few = spark.range(0, 60_000, 1, 2).select((F.col("id") % 3).cast("int").alias("p"), "id")
+    many = few.withColumn("p", (F.col("id") % 30_000).cast("int"))
+
+    def shuffled(frame, like):
+        return "RebalancePartitions" in laid_out(frame, ["p"], like)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert not shuffled(few, few)
+    assert shuffled(few, None) and shuffled(many, many) and shuffled(few.limit(10), few.limit(10))
+    table = f"{database}.t"
+    assert overwrite_partitions(few, table, "p", like=few) == 60_000
+    names = spark.table(table).inputFiles()
+    assert len(names) == 6 and all(".zstd." in name for name in names)
+    assert rows(spark.table(table).groupBy("p").agg(F.count("*"), F.sum("id"))) == rows(few.groupBy("p").agg(F.count("*"), F.sum("id")))
+
+
 def test_versions_history_and_rollback(spark, database):
     table = f"{database}.mirror"
     assert commit_version(spark.range(5), table) == 1
