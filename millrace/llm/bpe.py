@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_map, extended
+from millrace.llm.common import arrow_map, extended, held
 
 NONE = 1 << 62
 CACHE_ENTRIES = 150_000
@@ -198,15 +198,12 @@ class Bpe:
         return " ".join([t for t in known if t is not None])
 
 
-_loaded: dict[str, Bpe] = {}
+HELD = "tokenizer"
 
 
 def load(content: str) -> Bpe:
-    """One encoder for each worker process, kept for later tasks."""
-    name = hashlib.sha256(content.encode()).hexdigest()
-    if name not in _loaded:
-        _loaded[name] = Bpe(content)
-    return _loaded[name]
+    """One encoder for each worker process, kept for later tasks until another operator runs there."""
+    return held(HELD, hashlib.sha256(content.encode()).hexdigest(), lambda: Bpe(content))
 
 
 def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], start):
@@ -235,7 +232,7 @@ def _with_columns(frame: DataFrame, text: str, made: dict[str, pa.DataType], sta
                 names=[*(kept[k] for k in passed), *made],
             )
 
-    return arrow_map(source, run, schema)
+    return arrow_map(source, run, schema, HELD)
 
 
 def encode(frame: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 from typing import NamedTuple
 
@@ -79,15 +80,41 @@ def ship(spark: SparkSession) -> None:
     context._millrace_shipped = True
 
 
-def arrow_map(frame: DataFrame, function, schema) -> DataFrame:
+_held: dict[tuple[str, str], object] = {}
+
+
+def held[T](kind: str, name: str, make: Callable[[], T]) -> T:
+    """An object that a worker process keeps for later tasks of its kind, until ``release``."""
+    if (kind, name) not in _held:
+        _held[kind, name] = make()
+    return _held[kind, name]
+
+
+def release(kind: str | None) -> None:
+    """Let go of what this process holds for tasks of other kinds.
+
+    Spark uses its worker processes again for later stages and jobs, so what one operator leaves
+    in them would stand in the memory of all that come after it.
+    """
+    for key in [k for k in _held if k[0] != kind]:
+        del _held[key]
+
+
+def arrow_map(frame: DataFrame, function, schema, holds: str | None = None) -> DataFrame:
     """``mapInArrow`` in batches bounded by rows and by bytes, so that long texts come in small ones.
 
-    Spark reads both from the session when the plan runs, so they are set there.
+    Spark reads both from the session when the plan runs, so they are set there. ``holds`` is the
+    kind of objects that the function asks ``held`` for.
     """
     ship(frame.sparkSession)
+
+    def run(batches):
+        release(holds)
+        yield from function(batches)
+
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return frame.mapInArrow(function, schema)
+    return frame.mapInArrow(run, schema)
 
 
 def extended(schema: StructType, **kinds: DataType) -> StructType:
