@@ -47,6 +47,8 @@ LEAST = 25
 # Squared distance; for five normal statistics one clean document in 10 million is as far.
 FAR = 42.0
 MOST_BROADCAST = 50_000
+# Groups whose estimates are written by one task.
+IN_A_FILE = 1_000
 LEVELS = 16
 # A determinant that falls by less than 1 % has stopped falling.
 FALLEN = 0.01
@@ -172,24 +174,43 @@ def _moments() -> list[Column]:
     ]
 
 
-def _estimates(moments: DataFrame, correction: float) -> DataFrame:
-    """Mean and inverse covariance of each group, in steps."""
+def _few(frame: DataFrame, groups: int) -> DataFrame:
+    """``frame``, of a row or some for each group, in as few partitions as that takes.
+
+    Hadoop sets the rights of every file and folder that a task writes by a process of its own. While
+    one starts, the memory of the executor counts twice, and a file a group would start thousands.
+    """
+    return frame.repartition(groups // IN_A_FILE + 1)
+
+
+def _mean_and_covariance(sums: dict) -> tuple[np.ndarray, np.ndarray]:
     p = len(STATISTICS)
+    mean = np.array([sums[f"s{i}"] for i in range(p)]) / sums["n"]
+    cov = np.zeros((p, p))
+    for i, j in _PAIRS:
+        cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["n"] - mean[i] * mean[j]
+    return mean, cov
+
+
+ESTIMATE = "grp string, mean array<double>, inverse array<double>"
+
+
+def _estimate(grp: str, sums: dict, correction: float) -> tuple[str, list[float], list[float]]:
+    mean, cov = _mean_and_covariance(sums)
     floor = np.diag(np.square(np.array(FLOOR) * STEP))
+    return grp, mean.tolist(), np.linalg.inv(cov * correction + floor).ravel().tolist()
+
+
+def _estimates(moments: DataFrame, correction: float) -> DataFrame:
+    """Mean and inverse covariance of each group, in steps."""
 
     def invert(batches):
         for frame in batches:
-            rows = []
-            for row in frame.to_dict("records"):
-                mean = np.array([row[f"s{i}"] for i in range(p)]) / row["n"]
-                cov = np.zeros((p, p))
-                for i, j in _PAIRS:
-                    cov[i, j] = cov[j, i] = row[f"s{i}_{j}"] / row["n"] - mean[i] * mean[j]
-                rows.append((row["grp"], mean.tolist(), np.linalg.inv(cov * correction + floor).ravel().tolist()))
+            rows = [_estimate(row["grp"], row, correction) for row in frame.to_dict("records")]
             yield pd.DataFrame(rows, columns=["grp", "mean", "inverse"])
 
     ship(moments.sparkSession)
-    return moments.mapInPandas(invert, "grp string, mean array<double>, inverse array<double>")
+    return moments.mapInPandas(invert, ESTIMATE)
 
 
 def _with_distance(rows: DataFrame, model: DataFrame, groups: int) -> DataFrame:
@@ -212,7 +233,7 @@ def _start(rows: DataFrame, groups: int) -> DataFrame:
     medians = rows.groupBy("grp").agg(
         F.array(*(F.percentile(c, 0.5) for c in STATISTICS)).alias("mean")
     )
-    medians = stored(medians, "quality-medians")
+    medians = stored(_few(medians, groups), "quality-medians")
     small = F.broadcast(medians) if groups <= MOST_BROADCAST else medians
     off = [F.abs(F.col(c) - F.get("mean", F.lit(i))) for i, c in enumerate(STATISTICS)]
     p = len(STATISTICS)
@@ -227,24 +248,42 @@ def _start(rows: DataFrame, groups: int) -> DataFrame:
     spread = rows.join(small, "grp").groupBy("grp", "mean").agg(
         F.array(*(inverse(k) for k in range(p * p))).alias("inverse")
     )
-    return stored(spread, "quality-start")
+    return stored(_few(spread, groups), "quality-start")
+
+
+_SUMS = ["n", *(f"s{i}" for i in range(len(STATISTICS))), *(f"s{i}_{j}" for i, j in _PAIRS)]
+
+
+def _nearest(frame: pd.DataFrame) -> pd.DataFrame:
+    """The estimate of a group from the levels up to the percentile ``KEPT``, of the sums of each level."""
+    frame = frame.sort_values("level")
+    level, upto = frame["level"].to_numpy(np.int64), frame["n"].to_numpy(np.int64).cumsum()
+    place = KEPT * (upto[-1] - 1)
+    before, after = math.floor(place), math.ceil(place)
+    low, high = (int(level[np.searchsorted(upto, k, side="right")]) for k in (before, after))
+    cut = low if low == high else math.ceil((after - place) * low + (place - before) * high)
+    sums = frame.loc[frame["level"] <= cut, _SUMS].astype(np.float64).sum().to_dict()
+    row = _estimate(frame["grp"].iloc[0], sums, consistency(KEPT))
+    return pd.DataFrame([row], columns=["grp", "mean", "inverse"])
 
 
 def robust_estimates(rows: DataFrame, groups: int) -> DataFrame:
     """(grp, mean, inverse) from rows of (grp, statistics)."""
+    ship(rows.sparkSession)
     model = _start(rows, groups)
     # Distances in 1/8 octaves: the share is met by whole levels, the same at every run.
     level = F.floor(F.log2(F.col("distance") + 2.0**-10) * 8)
     for _ in range(ROUNDS):
-        ranked = _with_distance(rows, model, groups).withColumn("level", level)
-        cut = ranked.groupBy("grp").agg(F.percentile("level", KEPT).alias("cut"))
-        small = F.broadcast(cut) if groups <= MOST_BROADCAST else cut
-        nearest = ranked.join(small, "grp").filter(F.col("level") <= F.ceil("cut"))
-        moments = nearest.groupBy("grp").agg(*_moments())
-        model = stored(_estimates(moments, consistency(KEPT)), "quality-round")
+        sums = _with_distance(rows, model, groups).withColumn("level", level).groupBy("grp", "level").agg(*_moments())
+        model = stored(_few(sums.groupBy("grp").applyInPandas(_nearest, ESTIMATE), groups), "quality-round")
+    return _inside(rows, model, groups)
+
+
+def _inside(rows: DataFrame, model: DataFrame, groups: int) -> DataFrame:
+    """(grp, mean, inverse) of the rows within the 0.975 quantile of ``model``."""
     inside = _with_distance(rows, model, groups).filter(F.col("distance") <= INSIDE)
-    final = inside.groupBy("grp").agg(*_moments())
-    return stored(_estimates(final, consistency(0.975)), "quality-model")
+    moments = _few(inside.groupBy("grp").agg(*_moments()), groups)
+    return stored(_estimates(moments, consistency(0.975)), "quality-model")
 
 
 MODEL = "grp string, start int, mean array<double>, inverse array<double>, logdet double"
@@ -266,7 +305,7 @@ def _weighted_median(values: np.ndarray, counts: np.ndarray) -> float:
     return float(values[order][np.searchsorted(np.cumsum(counts[order]), (counts.sum() + 1) // 2)])
 
 
-def _centres(rows: DataFrame) -> DataFrame:
+def _centres(rows: DataFrame, groups: int) -> DataFrame:
     """(grp, mid, wide, dense, narrow): medians and median deviations, and the shortest halves."""
     ship(rows.sparkSession)
     values = rows.select("grp", F.posexplode(F.array(*STATISTICS)).alias("place", "value"))
@@ -286,13 +325,14 @@ def _centres(rows: DataFrame) -> DataFrame:
         return pd.DataFrame([(frame["grp"].iloc[0], *map(list, zip(*out)))], columns=["grp", "mid", "wide", "dense", "narrow"])
 
     kinds = ", ".join(f"{c} array<double>" for c in ("mid", "wide", "dense", "narrow"))
-    return stored(counted.groupBy("grp").applyInPandas(summed, f"grp string, {kinds}"), "quality-centres")
+    made = counted.groupBy("grp").applyInPandas(summed, f"grp string, {kinds}")
+    return stored(_few(made, groups), "quality-centres")
 
 
 def _starts(rows: DataFrame, groups: int) -> DataFrame:
     """Starts of each group: medians, shortest halves, spatial signs, tanh correlation, and the trimmed quarter."""
     p = len(STATISTICS)
-    centres = _centres(rows)
+    centres = _centres(rows, groups)
     small = F.broadcast(centres) if groups <= MOST_BROADCAST else centres
     z = [(F.col(c) - F.get("mid", F.lit(i))) / F.get("wide", F.lit(i)) for i, c in enumerate(STATISTICS)]
     scaled = rows.join(small, "grp").select("grp", *(v.alias(f"z{i}") for i, v in enumerate(z)))
@@ -329,30 +369,20 @@ def _starts(rows: DataFrame, groups: int) -> DataFrame:
                     out.append((row["grp"], k, centre.tolist(), np.linalg.inv(cov + floor).ravel().tolist(), 1e300))
             yield pd.DataFrame(out, columns=["grp", "start", "mean", "inverse", "logdet"])
 
-    made = sums.join(centres, "grp").mapInPandas(begin, MODEL)
+    made = _few(sums.join(centres, "grp"), groups).mapInPandas(begin, MODEL)
     trimmed = robust_estimates(rows, groups).select(
         "grp", F.lit(4).alias("start"), "mean", "inverse", F.lit(1e300).alias("logdet")
     )
     return stored(made.unionByName(trimmed), "quality-starts")
 
 
-def _mean_and_covariance(sums: dict) -> tuple[np.ndarray, np.ndarray]:
-    p = len(STATISTICS)
-    mean = np.array([sums[f"s{i}"] for i in range(p)]) / sums["n"]
-    cov = np.zeros((p, p))
-    for i, j in _PAIRS:
-        cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["n"] - mean[i] * mean[j]
-    return mean, cov
-
-
 def _concentrate(frame: pd.DataFrame) -> pd.DataFrame:
     """The next estimate of a group from one start, of the sums of each level of distance."""
     frame = frame.sort_values("level")
     n = frame["n"].to_numpy(np.float64)
     half = min(n.sum(), (n.sum() + len(STATISTICS) + 1) // 2)
     taken = np.clip(half - (np.cumsum(n) - n), 0, n) / n
-    names = ["n", *(f"s{i}" for i in range(len(STATISTICS))), *(f"s{i}_{j}" for i, j in _PAIRS)]
-    mean, cov = _mean_and_covariance({c: float((frame[c].to_numpy(np.float64) * taken).sum()) for c in names})
+    mean, cov = _mean_and_covariance({c: float((frame[c].to_numpy(np.float64) * taken).sum()) for c in _SUMS})
     floor = np.diag(np.square(np.array(FLOOR) * STEP))
     cov = cov * consistency(half / n.sum()) + floor
     logdet = float(np.linalg.slogdet(cov)[1])
@@ -368,23 +398,23 @@ def least_determinant(rows: DataFrame, groups: int) -> DataFrame:
     while not active.isEmpty():
         ranked = _with_distance(rows, active, groups).withColumn("level", level)
         sums = ranked.groupBy("grp", "start", "logdet", "level").agg(*_moments())
-        made = stored(sums.groupBy("grp", "start").applyInPandas(_concentrate, MODEL + ", falls boolean"), "quality-half")
+        nearer = sums.groupBy("grp", "start").applyInPandas(_concentrate, MODEL + ", falls boolean")
+        made = stored(_few(nearer, groups), "quality-half")
         found.append(made)
         active = made.filter("falls").drop("falls")
     if not found:
         return active.select("grp", "mean", "inverse")
     every = reduce(DataFrame.unionByName, found)
     best = every.groupBy("grp").agg(F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "start", "mean")).alias("best"))
-    return stored(best.select("grp", "best.*"), "quality-least")
+    return stored(_few(best.select("grp", "best.*"), groups), "quality-least")
 
 
 def final_estimates(rows: DataFrame, groups: int) -> DataFrame:
     """(grp, mean, inverse) of the rows near the half of least determinant."""
-    inside = _with_distance(rows, least_determinant(rows, groups), groups).filter(F.col("distance") <= INSIDE)
-    return stored(_estimates(inside.groupBy("grp").agg(*_moments()), consistency(0.975)), "quality-model")
+    return _inside(rows, least_determinant(rows, groups), groups)
 
 
-def blended(sizes: DataFrame, estimates: DataFrame) -> DataFrame:
+def blended(sizes: DataFrame, estimates: DataFrame, groups: int = 1) -> DataFrame:
     """(grp, mean, inverse) of each language and source, from its own estimate and those above it."""
 
     def named(prefix: str, *columns: Column) -> DataFrame:
@@ -411,7 +441,7 @@ def blended(sizes: DataFrame, estimates: DataFrame) -> DataFrame:
                 out.append((row["by_both"], mean.tolist(), inverse.tolist()))
             yield pd.DataFrame(out, columns=["grp", "mean", "inverse"])
 
-    made = known.mapInPandas(blend, "grp string, mean array<double>, inverse array<double>")
+    made = _few(known, groups).mapInPandas(blend, ESTIMATE)
     return stored(made, "quality-blended")
 
 
@@ -454,7 +484,7 @@ def judge_quality(frame: DataFrame, text: str = "text", language: str = "lang",
     )
     part = part.join(F.broadcast(needed) if groups <= MOST_BROADCAST else needed, "grp")
     part = stored(part, "quality-part")
-    model = blended(sizes, final_estimates(part, groups))
+    model = blended(sizes, final_estimates(part, groups), groups)
     rows = rows.withColumnRenamed("by_both", "grp")
     judged = _with_distance(rows, model, groups)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -129,3 +130,22 @@ def test_estimates_blend_without_a_jump(spark):
                 mean = near * made[group][0] + (1 - near) * mean
                 inverse = weight * made[group][1] + (1 - weight) * inverse
         assert np.allclose(out[name]["mean"], mean) and np.allclose(out[name].inverse, inverse)
+
+
+def test_estimates_of_many_partitions_are_few_files(spark):
+    """Every file that a task writes costs the executor processes and memory of their own."""
+    rng = random.Random(11)
+    rows = [(k, clean(rng, size=(55, 90)), "en", "abcdefghij"[k % 10]) for k in range(400)]
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    old = set(root.glob("quality-*"))
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(coalesced)
+    spark.conf.set(coalesced, "false")
+    try:
+        assert len(judged(spark, rows)) == 400
+    finally:
+        spark.conf.set(coalesced, was)
+    made = [p for p in set(root.glob("quality-*")) - old if not p.name.startswith(("quality-counts", "quality-part", "quality-sizes"))]
+    files = {p.name: len(list(p.glob("part-*"))) for p in made}
+    # The starts are of two frames.
+    assert len(files) > 10 and all(n <= 1 + k.startswith("quality-starts") for k, n in files.items()), files
