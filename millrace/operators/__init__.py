@@ -27,6 +27,7 @@ from millrace.operators.ingest import (
     undecodable,
 )
 from millrace.operators.offsets import (
+    among,
     merged_intervals,
     offset_intervals,
     outside,
@@ -53,6 +54,7 @@ from millrace.operators.zones import (
 )
 
 __all__ = [
+    "among",
     "DimensionFacts",
     "added_partials",
     "beyond_high_water",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.config import PARTITION, PipelineConfig
 from millrace.operators import (
     added_partials,
+    among,
     change_history,
     change_state,
     clean_trips,
@@ -120,6 +121,43 @@ def test_scattered_offsets_meet_few_rows_in_a_task(spark, monkeypatch):
         assert rows(fresh.agg(F.count("*"), F.min("offset"), F.max("offset"))) == [(1000, 1, 1999)]
 
 
+def test_messages_among_identities(spark):
+    block = 1 << 15
+    sent = [("a", 0, k) for k in (0, 1, block - 1, block, 5 * block + 3)]
+    sent += [("a", 1, 1), ("b", 0, 1), ("b", 0, 1), ("a", 0, None), (None, 0, 1), ("a", 0, -1)]
+    wanted = [("a", 0, 1), ("a", 0, 1), ("a", 0, block), ("a", 0, -1), ("b", 0, 1), ("c", 0, 1), ("a", 0, None), (None, 0, 1)]
+    kept = [("a", 0, 1), ("a", 0, block), ("a", 0, -1), ("b", 0, 1), ("b", 0, 1)]
+    for most in (0, 100):
+        got = among(spark.createDataFrame(sent, IDS), spark.createDataFrame(wanted, IDS), most)
+        assert rows(got) == sorted(kept, key=repr)
+    none = spark.createDataFrame([], IDS)
+    assert among(spark.createDataFrame(sent, IDS), none).isEmpty()
+
+
+def test_open_rejects_are_not_broadcast(spark, tmp_path, database):
+    """As files rejects are small, so that Spark would hold all of their rows in the driver."""
+    cfg = PipelineConfig(
+        changes=LogSource((CUSTOMERS_TOPIC,), path=f"{tmp_path}/changes"),
+        trips=LogSource((TRIPS_TOPIC,), path=f"{tmp_path}/trips"),
+        zones_path=f"{tmp_path}/zones",
+        database=database,
+    )
+    flow = Flow(spark, cfg, Folders(f"{tmp_path}/run"))
+    reject = "load bigint, topic string, partition int, offset bigint, reject_reason string, pickup_date date"
+    found = [(1, "t", 0, 1, "x", None), (1, "t", 0, 2, "x", None), (-1, "t", 0, 2, "y", None), (1, "t", 0, 3, "x", None),
+             (-1, "t", 0, 3, "y", None), (1, None, 0, 4, "x", None)]
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in flow.trip_rejects.schema.fields
+               if f.name not in reject]
+    flow.trip_rejects.put(spark.createDataFrame(found, reject).select("*", *columns))
+    sent = spark.createDataFrame([(1, "t", 0, 1), (1, "t", 0, 2), (1, "t", 0, 3), (2, "t", 0, 3), (1, None, 0, 4)], f"load bigint, {IDS}")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in flow.trip_repairs.rows.schema.fields
+               if f.name not in sent.columns]
+    flow.trip_repairs.rows.put(sent.select("*", *columns))
+    left = flow.open_rejects()
+    assert rows(left) == sorted([("t", 0, 2, "y"), (None, 0, 4, "x")], key=repr)
+    assert "Join" not in plan(left)
+
+
 def test_stored_offsets_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "log")
     feeds.customers_log(spark, SF).write.parquet(path)
