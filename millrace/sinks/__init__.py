@@ -1,4 +1,4 @@
-from millrace.sinks.loads import LOAD, LoadedFiles, LoadedMessages, LoadedTable, Progress
+from millrace.sinks.loads import LOAD, LoadedFiles, LoadedMessages, LoadedTable, Progress, in_time
 from millrace.sinks.tables import (
     append_table,
     counted,
@@ -38,6 +38,7 @@ __all__ = [
     "ensure_database",
     "expire_versions",
     "files",
+    "in_time",
     "laid_out",
     "overwrite_partitions",
     "overwrite_table",

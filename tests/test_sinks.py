@@ -12,6 +12,7 @@ from millrace.sinks import (
     append_table,
     commit_version,
     expire_versions,
+    in_time,
     laid_out,
     overwrite_partitions,
     overwrite_table,
@@ -19,6 +20,7 @@ from millrace.sinks import (
     roll_back,
     snapshot_sql,
     version_history,
+    writing,
 )
 from millrace.sources import read_table, read_zones
 from millrace.streaming import fold_batch
@@ -65,6 +67,8 @@ def test_rows_are_shuffled_for_a_write_only_where_files_would_be_small(spark, da
 
     assert not shuffled(few, few)
     assert shuffled(few, None) and shuffled(many, many) and shuffled(few.limit(10), few.limit(10))
+    near = few.sortWithinPartitions("p")
+    assert laid_out(few, ["p"], few, near) is near and laid_out(many, ["p"], many, near) is not near
     table = f"{database}.t"
     assert overwrite_partitions(few, table, "p", like=few) == 60_000
     names = spark.table(table).inputFiles()
@@ -72,6 +76,27 @@ def test_rows_are_shuffled_for_a_write_only_where_files_would_be_small(spark, da
     assert rows(spark.table(table).groupBy("p").agg(F.count("*"), F.sum("id"))) == rows(few.groupBy("p").agg(F.count("*"), F.sum("id")))
 
 
+def test_messages_are_written_by_time_and_without_dictionaries(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    def parse(messages):
+        return messages.withColumn("day", F.to_date("timestamp"))
+
+    when = dt.datetime(2026, 1, 1)
+    sent = [("t", 0, k, when + dt.timedelta(days=k % 3), bytearray(b"x")) for k in range(9)]
+    messages = log(spark, sent).coalesce(1)
+    near = in_time(messages, parse, ["day"])
+    assert [r.offset for r in near.collect()] != sorted(r.offset for r in near.collect())
+    assert [r.day for r in near.collect()] == sorted(r.day for r in near.collect())
+    assert in_time(messages, parse, ["topic"]) is None
+    with writing(spark):
+        near.write.parquet(f"{tmp_path}/out")
+    for name in spark.read.parquet(f"{tmp_path}/out").inputFiles():
+        group = pq.ParquetFile(name.removeprefix("file://")).metadata.row_group(0)
+        encodings = {e for k in range(group.num_columns) for e in group.column(k).encodings}
+        assert not any("DICTIONARY" in e for e in encodings)
+
+
 def test_versions_history_and_rollback(spark, database):
     table = f"{database}.mirror"
     assert commit_version(spark.range(5), table) == 1
